@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, exact_dedup, sharding, token_files
+from tessera.llm import bpe, exact_dedup, jaccard_join, sharding, token_files
 from tessera.llm.common import documents
 
 #: Where the vocabulary files lie; a parameter, since they belong to the box and not to the repository.
@@ -31,6 +31,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir, "doc_id", "text")).drop("row")
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.write_and_read(documents(spark, sf_dir, "doc_id", "text"), vocabulary(WORD_BPE))
 
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_sharding": op4_sharding,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_token_files": op7_token_files,
 }
 
