@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, sharding, token_files
+from tessera.llm import bpe, decontaminate, exact_dedup, jaccard_join, langid, line_dedup, sharding, token_files, toxicity
 from tessera.llm.common import documents
 
 #: Where the vocabulary files lie; a parameter, since they belong to the box and not to the repository.
@@ -48,6 +48,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir, "doc_id", "text", "source"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.score_toxicity(documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_exact_dedup": op2_exact_dedup,
@@ -56,6 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_jaccard_join": op6_jaccard_join,
     "op7_token_files": op7_token_files,
     "op8_line_dedup": op8_line_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_toxicity": op10_toxicity,
 }
 
 OP2_SQL = """

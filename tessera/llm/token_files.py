@@ -22,6 +22,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -29,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import Memo
+from tessera.llm.bpe import Memo, char_class
 from tessera.llm.common import Scratch, shuffle_partitions
 
 MAGIC, BLOCK = b"TKPACK01", 1 << 16
@@ -143,8 +144,8 @@ class ShardReader:
 
 
 class LibraryEncoder:
-    """Ids of the tokenizers library for whole texts. Where a vocabulary drops white space and its pieces never cross it, the
-    library encodes each distinct stretch once and its ids are kept; all other texts go through it whole."""
+    """Ids of the tokenizers library for whole texts. Where a vocabulary lower-cases, drops white space and cuts by a known
+    pattern, the library encodes each distinct piece once and its ids are kept; all other texts go through it whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -159,25 +160,34 @@ class LibraryEncoder:
         self.by_word = '"Removed"' in pre and "[^\\\\s\\\\p{L}\\\\p{N}]+" in pre and '"invert": true' in pre
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.vocab_size = self.lib.get_vocab_size(with_added_tokens=True)
-        self.word = Memo(self._one)
+        self.stretch = Memo(self._stretch, 300_000)
+        self.piece = Memo(self._whole, 300_000)
+        self.cut = None
+        if self.by_word:
+            import regex
+
+            letters, numbers = char_class("L"), char_class("N")
+            self.cut = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _one(self, stretch: str) -> bytes:
-        return self._whole(stretch)
+    def _stretch(self, stretch: str) -> bytes:
+        return b"".join([self.piece[p] for p in self.cut(stretch)])
 
     def encode(self, text: str) -> bytes:
         """As little-endian unsigned 32-bit integers."""
         if not self.by_word or _odd.search(text) or any(s in text for s in self.special):
             return self._whole(text)
-        if not text.isascii():
+        if text.isascii():
+            text = text.lower()
+        else:
             # by stretches only where normalising the whole is normalising its parts
             normal = self.lib.normalizer.normalize_str(text)
             if self.lib.normalizer.normalize_str(normal) != normal or _odd.search(normal):
                 return self._whole(text)
             text = normal
-        return b"".join(map(self.word.__getitem__, text.split()))
+        return b"".join(map(self.stretch.__getitem__, text.split()))
 
 
 _encoders: dict[str, LibraryEncoder] = {}
