@@ -2,7 +2,8 @@
 
 Token log-odds. A token's share of toxic use is estimated from labelled training rows with Dirichlet (for two classes: beta)
 priors in a chain: all tokens, then the token's first 3, 5 and 7 letters, then the token itself; each level is the prior mean
-of the next, with `PRIOR` pseudo-counts, so rare and unseen tokens fall back to what they begin with. A token's score is the
+of the next, with `PRIOR` pseudo-counts, and a level counts only where it differs from its prior mean by `LEAST_Z` standard
+errors, so rare and unseen tokens fall back to what they begin with. A token's score is the
 log of p(token | toxic) / p(token | other).
 
 Segments. The linear-time scan of Ruzzo and Tompa finds all maximal-scoring segments of a text. Scores of segments by chance
@@ -36,8 +37,8 @@ from tessera.llm.common import Scratch
 MAX_ROWS = 40_000
 PRIOR, MIN_DOCS, PREFIXES = 4.0, 4, (3, 5, 7)
 SIGNIFICANT = 0.01
-#: A level is kept where it moves the log-odds by this much.
-LEAST_SHIFT = 0.15
+#: A level is kept where its log-odds differ from its prior's by this many standard errors.
+LEAST_Z = 4.0
 _letters = re.compile(r"[^\W\d_]+")
 
 
@@ -170,7 +171,8 @@ def log_odds(table) -> Scores:
         rates[level] = (t + PRIOR * mean) / (t + o + PRIOR)
         shift = math.log(rates[level] / (1 - rates[level])) - out.base
         held = math.log(mean / (1 - mean)) - out.base
-        if abs(shift - held) >= LEAST_SHIFT:
+        error = math.sqrt(1 / (t + PRIOR * mean) + 1 / (o + PRIOR * (1 - mean)))
+        if abs(shift - held) >= LEAST_Z * error:
             out.shift[level] = shift
         else:
             rates[level] = mean
@@ -235,7 +237,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = min(1.0, MAX_ROWS / max(total, 1))
     few = scratch.table(known.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000) + 1), "labels")
     rows = docs.select(id_col, text_col).join(few, id_col).withColumn("_fold", _fold(F.xxhash64(id_col), folds))
-    rows = scratch.table(rows.select(F.col(text_col).cast("string").alias("text"), "_toxic", "_fold"), "rows")
+    # copies would speak for each other in the fold that must be unseen
+    rows = scratch.table(rows.select(F.col(text_col).cast("string").alias("text"), "_toxic", "_fold").dropDuplicates(["text"]), "rows")
     counts = scratch.table(count_tokens(rows, "text", "_toxic", "_fold"), "counts")
     by_level = lambda df: df.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS).toPandas()
     # the law of chance and the curve are fitted on a fold that the log-odds of `part` haven't seen
