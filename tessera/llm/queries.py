@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe, decontaminate, exact_dedup, jaccard_join, langid, line_dedup, sharding, token_files, toxicity
+from tessera.llm import bpe, compact_windows, decontaminate, exact_dedup, jaccard_join, langid, line_dedup, sharding, token_files, toxicity
 from tessera.llm.common import documents
 
 #: Where the vocabulary files lie; a parameter, since they belong to the box and not to the repository.
@@ -27,6 +27,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(documents(spark, sf_dir, "doc_id", "text")).drop("row")
 
@@ -60,6 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe_round_trip": op1_bpe_round_trip,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_sharding": op4_sharding,
     "op5_decontaminate": op5_decontaminate,
     "op6_jaccard_join": op6_jaccard_join,
