@@ -110,4 +110,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents in which no word is hit."""
     bad = decontaminate(docs, items, id_col, text_col, **options).where("contaminated").select(F.col(id_col).alias("_bad"))
+    bad = Scratch(docs.sparkSession, "leaks").table(bad, "ids")  # written, so that its size decides how it is joined
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")

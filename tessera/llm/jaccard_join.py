@@ -249,4 +249,5 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents, of each class only the one with the smallest id. Rows with a null id stay."""
     drop = jaccard_join(docs, id_col, text_col, **options).where(F.col("class_id") < F.col(id_col)).select(id_col)
+    drop = Scratch(docs.sparkSession, "near").table(drop, "ids")  # written, so that its size decides how it is joined
     return docs.join(drop, id_col, "left_anti")

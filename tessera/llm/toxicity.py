@@ -293,4 +293,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents whose text isn't predicted toxic. Rejected ids go; ids are expected to be unique."""
     bad = score_toxicity(docs, labels, id_col, text_col).where("predicted = 1").select(F.col(id_col).alias("_bad"))
+    bad = Scratch(docs.sparkSession, "toxic").table(bad, "ids")  # written, so that its size decides how it is joined
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
