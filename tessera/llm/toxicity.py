@@ -148,18 +148,16 @@ def count_tokens(train: DataFrame, text_col: str, label_col: str, fold_col: str)
 
 
 def log_odds(table) -> Scores:
-    """Scores from (level, toxic, other, docs) rows of a pandas frame; the level '' counts all tokens."""
+    """Scores from an Arrow table of (level, toxic, other), the levels that are counted; the level '' counts all tokens."""
     out = Scores()
-    whole = table[table["level"] == ""]
-    levels = table[(table["level"] != "") & (table["docs"] >= MIN_DOCS)]
-    words = levels[levels["level"].str[0] == "w"]
-    toxic, other = float(words["toxic"].sum()), float(words["other"].sum())
-    if not len(whole) or toxic <= 0 or other <= 0:
+    counts = {k: (t, o) for batch in table.to_batches(16_384) for k, t, o in zip(*(batch.column(c).to_pylist() for c in ("level", "toxic", "other")), strict=True)}
+    counts.pop("", None)
+    toxic, other = (sum(v[j] for k, v in counts.items() if k[0] == "w") for j in (0, 1))
+    if toxic <= 0 or other <= 0:
         return out
     share = toxic / (toxic + other)
     out.base = math.log(share / (1 - share))
     rates: dict[str, float] = {}
-    counts = {k: (t, o) for k, t, o in zip(levels["level"], levels["toxic"], levels["other"], strict=True)}
     # shorter prefixes first, so that each level finds its prior
     for level in sorted(counts, key=lambda k: (k[0] == "w", k[0])):
         word = level[1:]
@@ -240,7 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # copies would speak for each other in the fold that must be unseen
     rows = scratch.table(rows.select(F.col(text_col).cast("string").alias("text"), "_toxic", "_fold").dropDuplicates(["text"]), "rows")
     counts = scratch.table(count_tokens(rows, "text", "_toxic", "_fold"), "counts")
-    by_level = lambda df: df.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS).toPandas()
+    by_level = lambda df: df.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS).select("level", "toxic", "other").toArrow()
     # the law of chance and the curve are fitted on a fold that the log-odds of `part` haven't seen
     part = log_odds(by_level(counts.where("fold <> 0")))
     seen = scan(rows.where("_fold = 0"), part, "text", "_toxic").select("_toxic", "best", "total", "tokens").toPandas()
