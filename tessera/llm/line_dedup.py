@@ -25,15 +25,16 @@ MIN_SITES = 10
 LOG_REGISTERS, MARGIN = 12, 0.25
 
 
-def line_key(line: Column) -> Column:
-    norm = ascii_lower(F.trim(line))
-    return F.when(norm.rlike(r"[\p{L}\p{N}]"), F.struct(F.xxhash64(norm).alias("a"), F.xxhash64(F.lit(1), norm, F.length(norm)).alias("b")))
+def with_key(lines: DataFrame, line: Column) -> DataFrame:
+    """Adds key; lines without a letter or digit go. Each step stands in a projection of its own, so that it is evaluated once."""
+    lines = lines.withColumn("_trim", F.trim(line)).withColumn("_norm", ascii_lower(F.col("_trim"))).where(F.col("_norm").rlike(r"[\p{L}\p{N}]"))
+    return lines.withColumn("key", F.struct(F.xxhash64("_norm").alias("a"), F.xxhash64(F.lit(1), "_norm", F.length("_norm")).alias("b"))).drop("_trim", "_norm")
 
 
 def spread_lines(docs: DataFrame, min_sites: int, text_col: str, site_col: str, scratch: Scratch) -> DataFrame:
     """key: the lines that stand on at least so many sites."""
     lines = docs.where(F.col(site_col).isNotNull()).select(F.explode(F.split(F.col(text_col), "\n")).alias("line"), F.col(site_col).cast("string").alias("site"))
-    lines = lines.select(line_key(F.col("line")).alias("key"), "site").where("key IS NOT NULL")
+    lines = with_key(lines, F.col("line")).select("key", "site")
     # a line that stands in fewer places than sites are needed is decided by its count, and needs no sketch
     often = scratch.table(lines.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= min_sites).select("key"), "often")
     sketched = lines.join(often, "key", "left_semi").groupBy("key").agg(F.hll_sketch_agg("site", LOG_REGISTERS).alias("sketch"))
@@ -56,7 +57,7 @@ def clean_lines(docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_
     placed = F.transform(F.split(text, "\n"), lambda line, i: F.concat(i.cast("string"), F.lit(":"), line))
     line_of = lambda x: F.substr(x, F.locate(":", x) + 1)
     lines = docs.select(F.col(id_col).alias("_id"), own.alias("_th"), F.explode(placed).alias("_line"))
-    hit = lines.withColumn("key", line_key(line_of(F.col("_line")))).where("key IS NOT NULL").join(bad, "key", "left_semi")
+    hit = with_key(lines, line_of(F.col("_line"))).join(bad, "key", "left_semi")
     removed = scratch.table(hit.groupBy("_id", "_th").agg(F.collect_set("_line").alias("_gone")), "removed")
     joined = docs.join(removed, F.col(id_col).eqNullSafe(F.col("_id")) & own.eqNullSafe(F.col("_th")), "left")
     kept = F.array_join(F.transform(F.array_except(placed, F.col("_gone")), line_of), "\n")
