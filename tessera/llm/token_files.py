@@ -30,12 +30,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.bpe import Memo, char_class
+from tessera.llm.bpe import Cutter, Memo, fill
 from tessera.llm.common import Scratch, shuffle_partitions
 
 MAGIC, BLOCK = b"TKPACK01", 1 << 16
 NULL_ID = -(1 << 63)
 _odd = re.compile("[\x1c-\x1f]")
+#: Below U+0250, and without U+0130, NFC changes nothing and lower-casing goes character by character in every library.
+_beyond = re.compile("[\u0130\u0250-\U0010ffff]").search
 
 
 def bits_for(vocab_size: int) -> int:
@@ -160,34 +162,31 @@ class LibraryEncoder:
         self.by_word = '"Removed"' in pre and "[^\\\\s\\\\p{L}\\\\p{N}]+" in pre and '"invert": true' in pre
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.vocab_size = self.lib.get_vocab_size(with_added_tokens=True)
-        self.stretch = Memo(self._stretch, 300_000)
+        self.stretch = Memo(self._stretch, 400_000)
         self.piece = Memo(self._whole, 300_000)
         self.cut = None
         if self.by_word:
-            import regex
-
-            letters, numbers = char_class("L"), char_class("N")
-            self.cut = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+").findall
+            pattern = "'s|'t|'re|'ve|'m|'ll|'d|[{L}]+|[{N}]|[^{S}{L}{N}]+"
+            self.cut = Cutter(fill(pattern, True), fill(pattern, False))
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _stretch(self, stretch: str) -> bytes:
-        return b"".join([self.piece[p] for p in self.cut(stretch)])
+        """Ids of a stretch without white space; normalising the parts of a text between white space is normalising the text."""
+        if not _beyond(stretch):
+            normal = stretch.lower()
+        else:
+            normal = self.lib.normalizer.normalize_str(stretch)
+            if self.lib.normalizer.normalize_str(normal) != normal:
+                return self._whole(stretch)
+        return b"".join([self.piece[p] for p in self.cut(normal)])
 
     def encode(self, text: str) -> bytes:
         """As little-endian unsigned 32-bit integers."""
         if not self.by_word or _odd.search(text) or any(s in text for s in self.special):
             return self._whole(text)
-        if text.isascii():
-            text = text.lower()
-        else:
-            # by stretches only where normalising the whole is normalising its parts
-            normal = self.lib.normalizer.normalize_str(text)
-            if self.lib.normalizer.normalize_str(normal) != normal or _odd.search(normal):
-                return self._whole(text)
-            text = normal
-        return b"".join(map(self.stretch.__getitem__, text.split()))
+        return b"".join(map(self.stretch.__getitem__, (text if not text.isascii() and _beyond(text) else text.lower()).split()))
 
 
 _encoders: dict[str, LibraryEncoder] = {}
