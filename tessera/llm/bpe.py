@@ -22,31 +22,50 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Python counts these as white space, the vocabulary's pattern doesn't.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^\s{l}{n}]+|\s+(?!\S)|\s+"
-_classes: dict[str, str] = {}
+#: What Python counts as white space, without blank and line feed.
+ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: White space as Unicode has it: fixed values.
+SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+"
+_classes: dict[tuple[str, bool], str] = {}
 
 
-def char_class(name: str) -> str:
-    """The letters or numbers as the tokenizers library's Unicode version has them, as ranges for a character class."""
-    if name not in _classes:
+def char_class(name: str, basic: bool = False) -> str:
+    """The letters or numbers as the tokenizers library's Unicode version has them, as ranges for a character class; basic: up to U+FFFF."""
+    if (name, basic) not in _classes:
         from tokenizers import Regex, pre_tokenizers
 
-        everything = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
-        runs = pre_tokenizers.Split(Regex(rf"\p{{{name}}}+"), "removed", invert=True).pre_tokenize_str(everything)
-        ascii_part = "a-zA-Z" if name == "L" else "0-9"
-        _classes[name] = ascii_part + "".join(f"\\U{ord(r[0]):08x}-\\U{ord(r[-1]):08x}" if ord(r[-1]) - ord(r[0]) == len(r) - 1 else _ranges(r) for r, _ in runs)
-    return _classes[name]
+        everything = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x10000 if basic else 0x110000)]))
+        runs = pre_tokenizers.Split(Regex(rf"\p{{{name}}}"), "removed", invert=True).pre_tokenize_str(everything)
+        ranges: list[list[int]] = []
+        for code in sorted({ord(c) for r, _ in runs for c in r}):
+            if ranges and code == ranges[-1][1] + 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+        _classes[name, basic] = ("a-zA-Z" if name == "L" else "0-9") + "".join(f"\\U{x:08x}-\\U{y:08x}" for x, y in ranges)
+    return _classes[name, basic]
+
+
+def fill(pattern: str, basic: bool) -> str:
+    """The pattern with its classes {L}, {N} and {S} written out."""
+    return pattern.replace("{L}", char_class("L", basic)).replace("{N}", char_class("N", basic)).replace("{S}", SPACE)
+
 
+class Cutter:
+    """All pieces of a text. Python's own engine has tables for characters up to U+FFFF and is faster there."""
 
-def _ranges(run: str) -> str:
-    return "".join(f"\\U{ord(c):08x}" for c in run)
+    def __init__(self, basic: str, full: str):
+        import regex
+
+        self.basic, self.full = re.compile(basic).findall, regex.compile(full).findall
 
+    def __call__(self, text: str) -> list[str]:
+        return self.basic(text) if text.isascii() or max(text) <= "\uffff" else self.full(text)
 
-def piece_pattern() -> str:
-    letters, numbers = char_class("L"), char_class("N")
-    return PATTERN.replace("{L}", f"[{letters}]").replace("{N}", f"[{numbers}]").replace("{l}", letters).replace("{n}", numbers)
+
+def piece_patterns() -> tuple[str, str]:
+    return fill(PIECES, True), fill(PIECES, False)
 
 
 class Memo(dict):
@@ -69,42 +88,10 @@ class Memo(dict):
         return value
 
 
-class PairTree:
-    """Minimum tree over the ranks of adjacent pairs; leaf i is the pair that starts at symbol i."""
-
-    def __init__(self, ranks: list[int], none: int):
-        self.size = 1 << max(0, (len(ranks) - 1).bit_length())
-        self.tree = [none] * self.size + ranks + [none] * (self.size - len(ranks))
-        tree = self.tree
-        for k in range(self.size - 1, 0, -1):
-            a, b = tree[2 * k], tree[2 * k + 1]
-            tree[k] = a if a <= b else b
-
-    def leftmost(self) -> int:
-        tree, size, k, least = self.tree, self.size, 1, self.tree[1]
-        while k < size:
-            k *= 2
-            if tree[k] != least:
-                k += 1
-        return k - size
-
-    def put(self, i: int, rank: int) -> None:
-        tree, k = self.tree, i + self.size
-        tree[k] = rank
-        k >>= 1
-        while k:
-            a, b = tree[2 * k], tree[2 * k + 1]
-            low = a if a <= b else b
-            if tree[k] == low:
-                break
-            tree[k] = low
-            k >>= 1
-
-
 class ByteBPE:
     """Byte-level BPE from a tokenizers file: encode gives the ids of tokenizers with add_special_tokens=False."""
 
-    def __init__(self, path: str, pattern: str | None = None):
+    def __init__(self, path: str, patterns: tuple[str, str] | None = None):
         import regex
 
         with open(path, encoding="utf-8") as f:
@@ -126,10 +113,10 @@ class ByteBPE:
         self.bytes_of.update({i: t.encode() for t, i in special.items()})
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.pieces = regex.compile(pattern or piece_pattern()).findall
-        self.piece = Memo(self._encode_piece)
-        self.unit = Memo(self._encode_unit)
-        self.decoded = Memo(self._decode_csv, longest=200)
+        self.pieces = Cutter(*(patterns or piece_patterns()))
+        self.piece = Memo(self._encode_piece, 300_000)
+        self.unit = Memo(self._encode_unit, 300_000)
+        self.decoded = Memo(self._decode_part, 300_000, longest=200)
 
     @staticmethod
     def _alphabet() -> dict[int, str]:
@@ -143,22 +130,46 @@ class ByteBPE:
         if n < 2:
             return ids
         rank, none, width, made = self.ranks.get, self.none, self.width, self.made
-        tree = PairTree([rank(ids[i] * width + ids[i + 1], none) for i in range(n - 1)], none)
+        # leaf size + i of the tree is the pair that starts at symbol i; every inner node has the least of its two children
+        size = 1 << (n - 2).bit_length()
+        tree = [none] * (2 * size)
+        tree[size : size + n - 1] = [rank(a * width + b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        for k in range(size - 1, 0, -1):
+            a, b = tree[2 * k], tree[2 * k + 1]
+            tree[k] = a if a <= b else b
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        nodes = tree.tree
-        while (low := nodes[1]) < none:
-            i = tree.leftmost()
+        while (low := tree[1]) < none:
+            k = 1
+            while k < size:  # to the leftmost leaf of that rank
+                k += k
+                if tree[k] != low:
+                    k += 1
+            i = k - size
             j = after[i]
-            k = after[j]
-            ids[i], ids[j], after[i] = made[low], -1, k
+            k = after[i] = after[j]
+            ids[i], ids[j] = made[low], -1
+            h = before[i]
             if k < n:
                 before[k] = i
-                tree.put(j, none)
-                tree.put(i, rank(ids[i] * width + ids[k], none))
+                tree[size + j] = none
+                tree[size + i] = rank(ids[i] * width + ids[k], none)
+                changed = (size + j, size + i)
             else:
-                tree.put(i, none)
-            if (h := before[i]) >= 0:
-                tree.put(h, rank(ids[h] * width + ids[i], none))
+                tree[size + i] = none
+                changed = (size + i,)
+            if h >= 0:
+                tree[size + h] = rank(ids[h] * width + ids[i], none)
+                changed += (size + h,)
+            for k in changed:
+                k >>= 1
+                while k:
+                    a, b = tree[2 * k], tree[2 * k + 1]
+                    if b < a:
+                        a = b
+                    if tree[k] == a:
+                        break
+                    tree[k] = a
+                    k >>= 1
         return [x for x in ids if x >= 0]
 
     def _encode_piece(self, piece: str) -> list[int]:
@@ -172,54 +183,53 @@ class ByteBPE:
         piece = self.piece
         return ",".join([str(i) for p in self.pieces(text) for i in piece[p]])
 
-    def _ordinary(self, text: str) -> str:
+    def _ordinary(self, text: str) -> list[str]:
         if not text:
-            return ""
+            return []
         blanks = text.count(" ") + text.count("\n")
         # only single blanks and line feeds between runs, none at the ends: pieces never cross the blanks, so the parts can be looked up
-        if len(text.split()) == blanks + 1 and not ODD_SPACE.search(text):
+        if not ODD_SPACE.search(text) and len(text.split()) == blanks + 1:
             first, *rest = text.replace("\n", " \n").split(" ")
-            return ",".join([self._csv(first), *map(self.unit.__getitem__, rest)])
-        return self._csv(text)
+            return [self._csv(first), *map(self.unit.__getitem__, rest)]
+        return [self._csv(text)]
 
-    def encode_csv(self, text: str) -> str:
-        """The ids in decimal, joined by commas."""
+    def encode_parts(self, text: str) -> list[str]:
+        """The ids in decimal, joined by commas, of consecutive stretches of the text."""
         if self.cut is None or not any(s in text for s in self.special):
             return self._ordinary(text)
-        parts = (str(self.special[p]) if p in self.special else self._ordinary(p) for p in self.cut.split(text))
-        return ",".join(filter(None, parts))
+        return [x for p in self.cut.split(text) for x in ([str(self.special[p])] if p in self.special else self._ordinary(p))]
 
     def encode(self, text: str) -> list[int]:
-        csv = self.encode_csv(text)
-        return list(map(int, csv.split(","))) if csv else []
+        return [int(i) for part in self.encode_parts(text) for i in part.split(",")]
 
-    def _decode_csv(self, token: str) -> bytes:
-        return self.bytes_of[int(token)]
+    def _decode_part(self, part: str) -> bytes:
+        return b"".join([self.bytes_of[int(i)] for i in part.split(",")])
 
-    def decode_csv(self, csv: str) -> str:
-        return b"".join(map(self.decoded.__getitem__, csv.split(","))).decode("utf-8", "replace") if csv else ""
+    def decode_parts(self, parts: list[str]) -> str:
+        """The text of stretches of ids; bytes are joined before they are read as UTF-8."""
+        return b"".join(map(self.decoded.__getitem__, parts)).decode("utf-8", "replace")
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_loaded: dict[tuple[str, str], ByteBPE] = {}
+_loaded: dict[str, ByteBPE] = {}
 
 
-def _codec(path: str, pattern: str) -> ByteBPE:
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = ByteBPE(path, pattern)
-    return _loaded[path, pattern]
+def _codec(path: str, patterns: tuple[str, str]) -> ByteBPE:
+    if path not in _loaded:
+        _loaded[path] = ByteBPE(path, patterns)
+    return _loaded[path]
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """Per document: id, n_tokens, ids_sha256 (of decimal ids joined by commas), decoded_sha256, round_trips; with_ids adds ids."""
-    pattern = piece_pattern()
+    patterns = piece_patterns()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        codec = _codec(path, pattern)
+        codec = _codec(path, patterns)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
@@ -227,8 +237,8 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
                 every = []
                 for value in part.column(1):
                     text = value.as_py() or ""
-                    csv = codec.encode_csv(text)
-                    decoded = codec.decode_csv(csv)
+                    parts = codec.encode_parts(text)
+                    csv, decoded = ",".join(parts), codec.decode_parts(parts)
                     out["n_tokens"].append(csv.count(",") + 1 if csv else 0)
                     out["ids_sha256"].append(hashlib.sha256(csv.encode()).hexdigest())
                     out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
