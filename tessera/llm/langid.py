@@ -4,8 +4,8 @@ Words are runs of letters, lower-cased; a model of order 4 runs over each word w
 doesn't depend on its neighbours. Counts come from every training row: words are counted per language by aggregation, then
 cut into 4-grams once per distinct word. Lower orders use continuation counts (in how many contexts a gram occurs), as
 Kneser and Ney have it, with one absolute discount per order, n1 / (n1 + 2 n2). A model is kept as sorted arrays of gram
-hashes with values beside them; looking up many grams is one binary search over arrays. Its size is bounded by `MAX_GRAMS`
-4-grams, the most frequent ones; pruned grams back off.
+hashes with values beside them; looking up many grams is one binary search over arrays. No gram is pruned: each language is
+fitted whole in a task of its own, and the arrays of all languages are broadcast, so they grow with the distinct grams.
 
 A text goes to the language with the lowest cross-entropy per character. The score is the posterior of that language under
 a temperature fitted on `CALIBRATION_ROWS` training rows (a documented bound, taken by hash of the id); `rejected` marks
@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 from tessera.llm.common import Scratch
 
 ORDER = 4
-MAX_GRAMS = 1_000_000
 CALIBRATION_ROWS = 2_000
 REJECT_QUANTILE = 0.999
 LONGEST_KEPT, KEPT_WORDS = 48, 200_000
@@ -119,6 +118,34 @@ def fit(grams: list[str], counts: np.ndarray) -> Model:
     return model
 
 
+def fit_languages(grams: DataFrame) -> dict[str, Model]:
+    """The models of all languages, each from all its grams, in one task per language; arrays come back in parts."""
+    part = 1 << 18
+
+    def run(key, table):
+        import pyarrow as pa
+
+        model = fit(table.column("gram").to_pylist(), table.column("n").to_numpy())
+        rows = []
+        for level in range(ORDER):
+            for kind, t in enumerate((model.gram[level], model.context[level])):
+                for at in range(0, len(t.keys), part):
+                    rows.append((key[0].as_py(), level, kind, at, t.keys[at : at + part].tobytes(), t.values[at : at + part].tobytes()))
+        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+        return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["lang", "level", "kind", "at", "keys", "values"])
+
+    parts: dict[tuple, list] = {}
+    for r in grams.groupBy("lang").applyInArrow(run, "lang string, level int, kind int, at long, keys binary, values binary").toLocalIterator():
+        parts.setdefault((r["lang"], r["level"], r["kind"]), []).append((r["at"], bytes(r["keys"]), bytes(r["values"])))
+    models: dict[str, Model] = {}
+    for (lang, _, kind), rows in sorted(parts.items()):
+        rows.sort()
+        table = Table(np.frombuffer(b"".join(x[1] for x in rows), np.uint64), np.frombuffer(b"".join(x[2] for x in rows), np.float64))
+        model = models.setdefault(lang, Model())
+        (model.context if kind else model.gram).append(table)
+    return models
+
+
 class Scorer:
     """Sums of log2 p per language and numbers of characters, for whole texts."""
 
@@ -179,7 +206,7 @@ class Identifier:
 
     def entropies(self, docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
         """`keep` columns, bits per character for each language (in order of name), and number of characters with marks."""
-        models = docs.sparkSession.sparkContext.broadcast(self.models)  # at most MAX_GRAMS grams
+        models = docs.sparkSession.sparkContext.broadcast(self.models)  # hashes and values of all grams
         langs = len(self.models)
 
         def run(batches: Iterator) -> Iterator:
@@ -220,8 +247,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     scratch = Scratch(docs.sparkSession, "langid")
     rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     grams = scratch.table(gram_counts(rows, text_col, lang_col), "grams")
-    table = grams.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).toPandas()
-    models = {lang: fit(g["gram"].tolist(), g["n"].to_numpy()) for lang, g in table.groupby("lang", sort=True)}
+    models = fit_languages(grams)
     out = Identifier(models)
     if models:
         total = rows.count()
