@@ -5,8 +5,9 @@ segment tree over adjacent pair ranks holds at its root the lowest rank; the lef
 changes at most three leaves in logarithmic time, until no mergeable pair is left: n log n for a piece of n bytes, however
 long. Decoding maps ids back to bytes.
 
-Pieces recur, so workers keep the ids of recent ones (two generations of bounded size, see Memo); what is forgotten is
-computed again. One narrow pass over the documents, no shuffle; a lost task is simply run again.
+Words recur, so workers keep the ids of recent ones (two generations of bounded size, see Memo; about 100 MB); what is
+forgotten is computed again. Texts are taken in slices of bounded size. One narrow pass over the documents, no shuffle; a lost
+task is simply run again.
 
 Nulls: a null text is encoded as the empty text (0 ids). A null id stays null. Repeated rows give repeated results. An empty
 table gives an empty result. Extra columns are ignored.
@@ -22,6 +23,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import slices
+
 #: What Python counts as white space, without blank and line feed.
 ODD_SPACE = re.compile(r"[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: White space as Unicode has it: fixed values.
@@ -114,9 +117,9 @@ class ByteBPE:
         self.special = special
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.pieces = Cutter(*(patterns or piece_patterns()))
-        self.piece = Memo(self._encode_piece, 300_000)
-        self.unit = Memo(self._encode_unit, 300_000)
-        self.decoded = Memo(self._decode_part, 300_000, longest=200)
+        self.bytes_of_digits = {str(i): b for i, b in self.bytes_of.items()}
+        self.unit = Memo(self._encode_unit, 250_000)
+        self.other = Memo(self._encode_piece, 20_000)
 
     @staticmethod
     def _alphabet() -> dict[int, str]:
@@ -172,16 +175,23 @@ class ByteBPE:
                     k >>= 1
         return [x for x in ids if x >= 0]
 
-    def _encode_piece(self, piece: str) -> list[int]:
-        return self.merge(list(map(self.byte_id.__getitem__, piece.encode())))
+    def _encode_piece(self, piece: str) -> str:
+        """Decimal ids of one piece, joined by commas."""
+        return ",".join(map(str, self.merge(list(map(self.byte_id.__getitem__, piece.encode())))))
 
     def _encode_unit(self, unit: str) -> str:
         """Decimal ids of a stretch without its leading blank, which is there unless it starts with a line feed."""
-        return self._csv(unit if unit[:1] == "\n" else " " + unit)
+        text = unit if unit[:1] == "\n" else " " + unit
+        pieces = self.pieces(text)
+        return self._encode_piece(text) if len(pieces) == 1 else self._joined(pieces)
+
+    def _joined(self, pieces: list[str]) -> str:
+        """A blank with a word behind it is looked up as the word."""
+        unit, other = self.unit, self.other
+        return ",".join([unit[p[1:]] if p[0] == " " and p[1:].isalpha() else other[p] for p in pieces])
 
     def _csv(self, text: str) -> str:
-        piece = self.piece
-        return ",".join([str(i) for p in self.pieces(text) for i in piece[p]])
+        return self._joined(self.pieces(text))
 
     def _ordinary(self, text: str) -> list[str]:
         if not text:
@@ -202,12 +212,9 @@ class ByteBPE:
     def encode(self, text: str) -> list[int]:
         return [int(i) for part in self.encode_parts(text) for i in part.split(",")]
 
-    def _decode_part(self, part: str) -> bytes:
-        return b"".join([self.bytes_of[int(i)] for i in part.split(",")])
-
-    def decode_parts(self, parts: list[str]) -> str:
-        """The text of stretches of ids; bytes are joined before they are read as UTF-8."""
-        return b"".join(map(self.decoded.__getitem__, parts)).decode("utf-8", "replace")
+    def decode_digits(self, csv: str) -> str:
+        """The text of decimal ids joined by commas; bytes are joined before they are read as UTF-8."""
+        return b"".join(map(self.bytes_of_digits.__getitem__, csv.split(","))).decode("utf-8", "replace") if csv else ""
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -227,33 +234,35 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     patterns = piece_patterns()
 
     def run(batches: Iterator) -> Iterator:
+        import numpy as np
         import pyarrow as pa
 
         codec = _codec(path, patterns)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                part = batch.slice(start, 512)
-                out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "round_trips": []}
-                every = []
-                for value in part.column(1):
-                    text = value.as_py() or ""
-                    parts = codec.encode_parts(text)
-                    csv, decoded = ",".join(parts), codec.decode_parts(parts)
-                    out["n_tokens"].append(csv.count(",") + 1 if csv else 0)
-                    out["ids_sha256"].append(hashlib.sha256(csv.encode()).hexdigest())
-                    out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                    out["round_trips"].append(decoded == text)
-                    if with_ids:
-                        every.append(list(map(int, csv.split(","))) if csv else [])
-                arrays = [part.column(0), pa.array(out["n_tokens"], pa.int64()), pa.array(out["ids_sha256"], pa.string()), pa.array(out["decoded_sha256"], pa.string()), pa.array(out["round_trips"], pa.bool_())]
-                names = [id_col, *out]
-                if with_ids:
-                    arrays.append(pa.array(every, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names)
+        for part in slices(batches, 1):
+            out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "round_trips": []}
+            flat = []
+            for value in part.column(1):
+                text = value.as_py() or ""
+                csv = ",".join(codec.encode_parts(text))
+                decoded = codec.decode_digits(csv)
+                out["n_tokens"].append(csv.count(",") + 1 if csv else 0)
+                out["ids_sha256"].append(hashlib.sha256(csv.encode()).hexdigest())
+                out["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
+                out["round_trips"].append(decoded == text)
+                if with_ids and csv:
+                    flat.append(np.fromstring(csv, np.int32, sep=","))
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.bool_())
+            arrays = [part.column(0), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))]
+            names = [id_col, *out]
+            if with_ids:
+                ends = pa.array(np.cumsum([0, *out["n_tokens"]]), pa.int32())
+                arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(flat) if flat else np.empty(0, np.int32))))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trips boolean" + (", ids array<int>" if with_ids else "")
+    schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, round_trips boolean"
+    schema += ", ids array<int>" if with_ids else ""
     return docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 

@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
+import sys
+import unicodedata
 import uuid
+from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +17,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: all of ASCII but digits and lower-case letters (after ascii_lower).
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOCAL_SHARED = "/tmp/checkpoints/tessera"
+#: Bytes of text that a Python worker takes at a time; a longer text is taken alone.
+SLICE_BYTES = 1 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -79,3 +86,44 @@ def words(text: Column) -> Column:
 
 def utf8(text: Column) -> Column:
     return F.encode(F.coalesce(text, F.lit("")), "UTF-8")
+
+
+def slices(batches: Iterator, column: int, limit: int = SLICE_BYTES) -> Iterator:
+    """Parts of Arrow batches whose texts in a column come to at most so many bytes (one row at least)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+        start = 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
+@lru_cache
+def letter_runs() -> re.Pattern:
+    """Runs of letters, which are what Unicode calls so (categories L*), on the JVM as in Python."""
+    ranges: list[list[int]] = []
+    for code in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(code))[0] == "L":
+            if ranges and code == ranges[-1][1] + 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+    return re.compile("[" + "".join(f"\\U{x:08x}-\\U{y:08x}" for x, y in ranges) + "]+")
+
+
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """What tells rows apart: the id (which may be null or shared) and a hash of the text. Rows alike in both are judged alike."""
+    return [F.col(id_col).alias("row_id"), F.xxhash64(F.col(text_col)).alias("row_text")]
+
+
+def without(docs: DataFrame, rejected: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents whose (row_id, row_text) isn't in `rejected`; a null id equals a null id. Columns of any name come through."""
+    own, mark = row_key(id_col, text_col)
+    left = docs.select(F.struct("*").alias("row"), own.alias("left_id"), mark.alias("left_text"))
+    same = F.col("left_id").eqNullSafe(F.col("row_id")) & (F.col("left_text") == F.col("row_text"))
+    return left.join(rejected.select("row_id", "row_text"), same, "left_anti").select("row.*")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_WORD, Scratch, ascii_lower
+from tessera.llm.common import NOT_WORD, Scratch, ascii_lower, row_key, without
 
 WORDS_PER_WINDOW, WORDS_PER_SHINGLE = 10, 5
 BROADCAST_BYTES, BROADCAST_ROWS = 32 << 20, 200_000
@@ -82,12 +82,13 @@ def occurrences(docs: DataFrame, windows: DataFrame, s: int, scratch: Scratch) -
     return found
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = WORDS_PER_WINDOW, s: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """Per document: id, n_words, n_hit (words inside any occurrence), n_items, items_sha256, contaminated."""
+def measure(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", n: int = WORDS_PER_WINDOW, s: int = WORDS_PER_SHINGLE) -> DataFrame:
+    """Per document: row_id, row_text (see common.row_key), n_words, n_hit (words inside any occurrence), n_items, items (comma-joined)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     windows = scratch.table(item_windows(items, n, item_col, item_text_col), "windows")
-    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("th"), _words(F.col(text_col)).alias("w")).withColumn("n_words", F.size("w").cast("long"))
+    own, mark = row_key(id_col, text_col)
+    base = docs.select(own.alias("id"), mark.alias("th"), _words(F.col(text_col)).alias("w")).withColumn("n_words", F.size("w").cast("long"))
     hits = occurrences(base, windows, s, scratch)
     if hits is None:  # no item has a word
         hits = spark.createDataFrame([], f"id {docs.schema[id_col].dataType.simpleString()}, th long, win array<string>, pos long, len int")
@@ -98,17 +99,23 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     covered = hits.withColumn("fresh", fresh).groupBy("id", "th").agg(F.sum("fresh").cast("long").alias("n_hit"))
     in_doc = hits.select("id", "th", "win").distinct().join(windows.select("item", "win"), "win").select("id", "th", "item").distinct()
     listed = in_doc.groupBy("id", "th").agg(F.count("*").alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items"))
-    per_doc = covered.join(listed, covered.id.eqNullSafe(listed.id) & covered.th.eqNullSafe(listed.th)).select(covered.id.alias("i"), covered.th.alias("h"), "n_hit", "n_items", "items")
+    both = covered.id.eqNullSafe(listed.id) & covered.th.eqNullSafe(listed.th)
+    per_doc = covered.join(listed, both).select(covered.id.alias("i"), covered.th.alias("h"), "n_hit", "n_items", "items")
     per_doc = scratch.table(per_doc, "per_doc")
     out = base.select("id", "th", "n_words").join(per_doc, F.col("id").eqNullSafe(F.col("i")) & F.col("th").eqNullSafe(F.col("h")), "left")
-    return out.select(
-        F.col("id").alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-    )
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return out.select(F.col("id").alias("row_id"), F.col("th").alias("row_text"), "n_words", zero("n_hit"), zero("n_items"), F.coalesce("items", F.lit("")).alias("items"))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per document: id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    out = measure(docs, items, id_col, text_col, **options)
+    contaminated = F.col("n_hit") > 0
+    return out.select(F.col("row_id").alias(id_col), "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), contaminated.alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents in which no word is hit."""
-    bad = decontaminate(docs, items, id_col, text_col, **options).where("contaminated").select(F.col(id_col).alias("_bad"))
-    bad = Scratch(docs.sparkSession, "leaks").table(bad, "ids")  # written, so that its size decides how it is joined
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents in which no word is hit. A row is known by its id and text, so a null or shared id takes no other row along."""
+    bad = measure(docs, items, id_col, text_col, **options).where("n_hit > 0").select("row_id", "row_text")
+    bad = Scratch(docs.sparkSession, "leaks").table(bad, "rows")  # written, so that its size decides how it is joined
+    return without(docs, bad, id_col, text_col)

@@ -4,7 +4,7 @@ Words are as in `common.words`; a text's set is that of its runs of five words (
 five; none where it has none). Two texts are linked if their sets' Jaccard similarity is at least the threshold.
 
 1. One pass computes per document a digest of its words and its MinHash band hashes (bands and rows follow from threshold
-   and recall, see `banding`). Documents with equal words collapse to one text with a count, by aggregation.
+   and recall, see `banding`). Documents with equal words collapse to one text with a number and a count, by aggregation.
 2. Texts that share a band hash form a bucket. Buckets with the same members count once.
 3. Members of buckets get their full sets. A bucket is cut into blocks of bounded size, and every pair of its blocks is a
    task's work: all pairs of texts in it are verified there, each in the first band that the two share. What leaves is one
@@ -13,11 +13,14 @@ five; none where it has none). Two texts are linked if their sets' Jaccard simil
 4. Components of the edges are the classes.
 
 Result, one row per document: id, text_id (smallest id with the same words), class_id (smallest id of the class), n_links
-(number of other documents linked to it, copies included), n_shingles.
-
-Nulls: a null text has no words and links to nothing, like any text without words; its class is its own id. A null id is
-treated as -1 and comes back null. Rows that share an id are one document: their classes are one. An empty table gives an
-empty result. Extra columns are ignored.
+(number of other documents linked to it, copies included), n_shingles, and keeps: true for one row of each class, which has
+the class's smallest id.
+
+Nulls: a null text has no words and links to nothing, like any text without words; its class is its own id and it is kept.
+Rows are told apart by id and text, never by id alone: rows that share an id or have none are documents of their own. A class
+without any id has a null class_id. Of rows alike in id and text, `keeps` is true for all or none;
+drop_near_copies leaves one of them. An empty table gives an empty result.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,15 +30,15 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, words
+from tessera.llm.common import Scratch, row_key, without, words
 from tessera.llm.graph import components
 
-#: Shingles in a block of a bucket: 8 bytes each, two blocks in a task.
-BLOCK_SHINGLES = 1 << 17
+#: Shingles in a block of a bucket (8 bytes each, two blocks in a task), at most; a bucket that would fill less than MANY_BLOCKS
+#: of these is cut into up to so many, of LEAST_SHINGLES at least, for even tasks. Cuts change no result.
+BLOCK_SHINGLES, LEAST_SHINGLES, MANY_BLOCKS = 1 << 17, 1 << 14, 16
 #: Shingles hashed at a time.
 CHUNK = 1 << 18
 PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -101,9 +104,8 @@ def _bands(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _tokens(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    hashed = F.transform(words(F.col(text_col)), lambda w: F.xxhash64(w))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("id"), hashed.alias("w"))
+def _hashed(text: Column) -> Column:
+    return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
 def _arrays(column) -> tuple[np.ndarray, np.ndarray]:
@@ -112,30 +114,39 @@ def _arrays(column) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column of longs in chunks."""
+    chunks = [_arrays(c) for c in column.chunks]
+    return np.concatenate([v for v, _ in chunks]), np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in chunks]))])
+
+
 def sketch(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int, rows: int) -> DataFrame:
-    """id, digest of the words (null without words), number of shingles, band hashes."""
+    """row_id, row_text, digest of the words (null without words), number of shingles, band hashes."""
     multipliers = np.random.default_rng(20260101).integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
+        names = ["row_id", "row_text", "digest", "n_shingles", "bands"]
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                tokens, lengths = _arrays(batch.column(1))
+                tokens, lengths = _arrays(batch.column(2))
                 hashes, counts = shingle_hashes(tokens, lengths, n)
                 full = np.zeros((len(lengths), bands), np.int64)
                 full[counts > 0] = _bands(_signatures(hashes, counts, multipliers), bands, rows)
                 ends = np.cumsum(lengths)
                 digests = [hashlib.blake2b(tokens[e - m : e].tobytes(), digest_size=16).digest() if m else None for e, m in zip(ends, lengths, strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(lengths) + 1) * bands, pa.int32()), pa.array(full.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), lists], ["id", "digest", "n_shingles", "bands"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, pa.binary()), pa.array(counts.astype(np.int64)), lists], names)
 
-    return _tokens(docs, id_col, text_col).mapInArrow(run, "id long, digest binary, n_shingles long, bands array<long>")
+    kind = docs.schema[id_col].dataType.simpleString()
+    source = docs.select(*row_key(id_col, text_col), _hashed(F.col(text_col)).alias("w"))
+    return source.mapInArrow(run, f"row_id {kind}, row_text long, digest binary, n_shingles long, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """id, sorted distinct shingle hashes."""
+def shingle_sets(texts: DataFrame, n: int) -> DataFrame:
+    """number, sorted distinct shingle hashes, of rows of (number, w)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -146,23 +157,31 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFra
                 hashes, counts = shingle_hashes(*_arrays(batch.column(1)), n)
                 ends = np.cumsum(counts)
                 sets = [np.unique(hashes[e - m : e]).view(np.int64) for e, m in zip(ends, counts, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["number", "grams"])
 
-    return _tokens(docs, id_col, text_col).mapInArrow(run, "id long, grams array<long>")
+    return texts.select("number", "w").mapInArrow(run, "number long, grams array<long>")
 
 
 def verify_blocks(threshold: float):
-    """Work on one pair of blocks of a bucket: rows (id, links, other)."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        band, left, right = int(pdf["band"].iloc[0]), int(pdf["left"].iloc[0]), int(pdf["right"].iloc[0])
-        pdf = pdf.sort_values("id", kind="stable").drop_duplicates("id").reset_index(drop=True)
-        sets = [np.asarray(g) for g in pdf["grams"]]
-        sizes = np.array([len(s) for s in sets])
-        keys = np.stack([np.asarray(b) for b in pdf["bands"]])
-        copies, blocks = pdf["copies"].to_numpy(), pdf["block"].to_numpy()
-        flat, starts = np.concatenate(sets), np.cumsum(sizes) - sizes
-        links, parent = np.zeros(len(pdf), np.int64), np.arange(len(pdf))
+    """Work on one pair of blocks of a bucket: rows (number, links, other)."""
+
+    def run(key, table):
+        import pyarrow as pa
+
+        band, _, left, right = (k.as_py() for k in key)
+        blocks, numbers = table.column("block").to_numpy(), table.column("number").to_numpy()
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers, copies = blocks[order], numbers[order], table.column("copies").to_numpy()[order]
+        grams, at = _lists(table.column("grams"))
+        sets = [grams[at[k] : at[k + 1]] for k in order.tolist()]
+        sizes = np.diff(at)[order]
+        keys = _lists(table.column("bands"))[0].reshape(len(order), -1)[order, :band]
+        # shingles by number, so that a set is a mark in a table and its share of another one a sum of marks
+        distinct, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        mark = np.zeros(len(distinct), bool)
+        second = int((blocks == left).sum())
+        links, parent = np.zeros(len(order), np.int64), list(range(len(order)))
 
         def root(i: int) -> int:
             while parent[i] != i:
@@ -170,84 +189,105 @@ def verify_blocks(threshold: float):
                 i = parent[i]
             return i
 
-        order = np.arange(len(pdf))
-        for i in range(len(pdf)):
-            fits = (order > i) & (np.minimum(sizes, sizes[i]) >= threshold * np.maximum(sizes, sizes[i]) - 1e-9)
-            if left != right:
-                fits &= blocks != blocks[i]
-            fits &= ~(keys[:, :band] == keys[i, :band]).any(axis=1)  # met in an earlier band
-            others = np.flatnonzero(fits)
-            if not len(others):
+        for i in range(second if left != right else len(order)):
+            after = i + 1 if left == right else second
+            if after == len(order):
+                break
+            size, others = sizes[i], sizes[after:]
+            fits = np.minimum(others, size) >= threshold * np.maximum(others, size) - 1e-9
+            fits &= ~(keys[after:] == keys[i]).any(axis=1)  # met in an earlier band
+            if not fits.any():
                 continue
-            if len(others) < 4:
-                shared = np.array([len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for j in others])
-            else:
-                at = np.searchsorted(sets[i], flat)
-                at[at == sizes[i]] = 0
-                shared = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)[others]
-            both = shared >= threshold * (sizes[others] + sizes[i] - shared) - 1e-9
-            for j in others[both]:
+            own = flat[starts[i] : starts[i] + size]
+            mark[own] = True
+            shared = np.add.reduceat(mark[flat[starts[after] :]], starts[after:] - starts[after], dtype=np.int64)
+            mark[own] = False
+            for j in (after + np.flatnonzero(fits & (shared >= threshold * (others + size - shared) - 1e-9))).tolist():
                 links[i] += copies[j]
                 links[j] += copies[i]
                 a, b = root(i), root(j)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
-        ids = pdf["id"].to_numpy()
-        other = np.array([ids[root(i)] for i in range(len(pdf))], np.int64) if len(pdf) else ids
         found = links > 0
-        return pd.DataFrame({"id": ids[found], "links": links[found], "other": other[found]})
+        other = np.array([numbers[root(i)] for i in np.flatnonzero(found)], np.int64)
+        return pa.table({"number": numbers[found], "links": links[found], "other": other})
 
     return run
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+    out = _classes(docs, id_col, text_col, n, threshold, recall)
+    return out.select(F.col("row_id").alias(id_col), "text_id", "class_id", "n_links", "n_shingles", "keeps")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, n: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+    """row_id, row_text, text_id, class_id, n_links, n_shingles, keeps: one row per document."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "jaccard")
     bands, rows = banding(threshold, recall)
     sketches = scratch.table(sketch(docs, id_col, text_col, n, bands, rows), "sketches")
-    worded = sketches.where("digest IS NOT NULL")
-    texts = scratch.table(worded.groupBy("digest").agg(F.min("id").alias("text_id"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "texts")
-    members = texts.select(F.col("text_id").alias("id"), "copies", "n_shingles", "bands", F.posexplode("bands").alias("band", "key"))
+    worded = sketches.where("digest IS NOT NULL").groupBy("digest")
+    row = F.struct(F.col("row_id").isNull().alias("none"), "row_id", "row_text")  # ids before nulls
+    texts = worded.agg(F.min(row).alias("row"), F.count("*").alias("copies"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    texts = scratch.table(texts.withColumn("number", F.monotonically_increasing_id()), "texts")
+    members = texts.select("number", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    blocks = F.least(F.ceil(F.col("size") / LEAST_SHINGLES), F.greatest(F.ceil(F.col("size") / BLOCK_SHINGLES), F.lit(MANY_BLOCKS)))
     buckets = (
         members.groupBy("band", "key")
-        .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.bit_xor(F.xxhash64("id")).alias("x"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("y"))
+        .agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"), F.bit_xor(F.xxhash64("number")).alias("x"), F.bit_xor(F.xxhash64("number", F.lit(1))).alias("y"))
         .where("n > 1")
         .groupBy("n", "size", "x", "y")
         .agg(F.min(F.struct("band", "key")).alias("b"))
-        .select("b.band", "b.key", F.ceil(F.col("size") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+        .select("b.band", "b.key", blocks.cast("int").alias("blocks"))
     )
     buckets = scratch.table(buckets, "buckets")
-    slim = scratch.table(members.select("band", "key", "id").join(buckets, ["band", "key"]), "members")
-    ids = scratch.table(slim.select("id").distinct(), "ids")
-    # a text's first document: the one whose row carries the text's words
-    source = docs.withColumn("_id", F.coalesce(F.col(id_col).cast("long"), F.lit(-1))).join(ids.withColumnRenamed("id", "_id"), "_id", "left_semi")
-    sets = scratch.table(shingle_sets(source, id_col, text_col, n).dropDuplicates(["id"]), "sets")
-    info = texts.select(F.col("text_id").alias("id"), "copies", "bands").dropDuplicates(["id"])
-    rich = scratch.table(sets.join(info, "id"), "rich")
-    block = F.pmod(F.xxhash64(F.col("id"), F.lit(7)), F.col("blocks")).cast("int")
+    slim = scratch.table(members.select("band", "key", "number").join(buckets, ["band", "key"]), "members")
+    chosen = texts.join(slim.select("number").distinct(), "number", "left_semi")
+    chosen = scratch.table(chosen.select("number", "copies", "bands", "row.row_id", "row.row_text"), "chosen")
+    # the sets come from one document of each text
+    own, mark = row_key(id_col, text_col)
+    same = F.col("row_id").eqNullSafe(F.col("own_id")) & (F.col("row_text") == F.col("own_text"))
+    source = docs.select(own.alias("own_id"), mark.alias("own_text"), F.col(text_col).alias("text"))
+    source = source.join(chosen.select("number", "row_id", "row_text"), same).select("number", _hashed(F.col("text")).alias("w"))
+    sets = scratch.table(shingle_sets(source, n), "sets").dropDuplicates(["number"])  # rows alike in id and text
+    rich = scratch.table(sets.join(chosen.select("number", "copies", "bands"), "number"), "rich")
+    block = F.pmod(F.xxhash64(F.col("number"), F.lit(7)), F.col("blocks")).cast("int")
     work = slim.withColumn("block", block).withColumn("with_block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    work = work.select("band", "key", "id", "block", F.least("block", "with_block").alias("left"), F.greatest("block", "with_block").alias("right"))
-    work = work.join(rich, "id")
-    found = work.groupBy("band", "key", "left", "right").applyInPandas(verify_blocks(threshold), "id long, links long, other long")
+    work = work.select("band", "key", "number", "block", F.least("block", "with_block").alias("left"), F.greatest("block", "with_block").alias("right"))
+    work = work.join(rich, "number")
+    found = work.groupBy("band", "key", "left", "right").applyInArrow(verify_blocks(threshold), "number long, links long, other long")
     found = scratch.table(found, "found")
-    roots = components(found.select(F.col("id").alias("u"), F.col("other").alias("v")))
-    links = found.groupBy("id").agg(F.sum("links").alias("links"))
-    state = texts.select("digest", "text_id", "copies")
-    state = state.join(links, state.text_id == links.id, "left").join(roots, state.text_id == roots.node, "left")
-    state = state.select("digest", "text_id", F.coalesce("root", "text_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    roots = components(found.select(F.col("number").alias("u"), F.col("other").alias("v")))
+    links = found.groupBy("number").agg(F.sum("links").alias("links"))
+    state = texts.select("digest", "row", "copies", "number").join(links, "number", "left")
+    state = state.join(roots, state.number == roots.node, "left").withColumn("root", F.coalesce("root", "number"))
     # only texts with a link or a copy need a join; all others are their own class
-    state = scratch.table(state.where("n_links > 0"), "classes")
-    out = sketches.drop("bands").join(state, "digest", "left")
-    own = F.col("id")
-    back = lambda c: F.when(c >= 0, c).otherwise(F.nullif(c, F.lit(-1)))
+    state = state.withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1).where("n_links > 0")
+    state = scratch.table(state.select("digest", "row", "root", "n_links"), "state")
+    first = state.groupBy("root").agg(F.min("row").alias("first"))
+    classes = scratch.table(state.join(first, "root").select("digest", "row", "first", "n_links"), "classes")
+    out = sketches.drop("bands").join(classes, "digest", "left")
+    alone = F.col("first").isNull()
+    keeps = alone | (F.col("row_id").eqNullSafe(F.col("first.row_id")) & (F.col("row_text") == F.col("first.row_text")))
     return out.select(
-        back(own).alias(id_col), back(F.coalesce("text_id", own)).alias("text_id"), back(F.coalesce("class_id", own)).alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_shingles",
+        "row_id", "row_text", F.when(alone, F.col("row_id")).otherwise(F.col("row.row_id")).alias("text_id"),
+        F.when(alone, F.col("row_id")).otherwise(F.col("first.row_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "n_shingles", keeps.alias("keeps"),
     )
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents, of each class only the one with the smallest id. Rows with a null id stay."""
-    drop = jaccard_join(docs, id_col, text_col, **options).where(F.col("class_id") < F.col(id_col)).select(id_col)
-    drop = Scratch(docs.sparkSession, "near").table(drop, "ids")  # written, so that its size decides how it is joined
-    return docs.join(drop, id_col, "left_anti")
+    """The documents, of each class one: that with the smallest id; of rows alike in id and text the first met."""
+    scratch = Scratch(docs.sparkSession, "near")
+    classes = scratch.table(_classes(docs, id_col, text_col, **options), "classes")
+    out = without(docs, classes.where("NOT keeps"), id_col, text_col)
+    # rows alike in id and text are copies of each other too
+    alike = classes.where("n_links > 0 AND keeps").groupBy("row_id", "row_text").agg(F.count("*").alias("m")).where("m > 1")
+    alike = scratch.table(alike, "alike")
+    if alike.isEmpty():
+        return out
+    own, mark = row_key(id_col, text_col)
+    rows = out.select(F.struct("*").alias("row"), own, mark)
+    same = rows.row_id.eqNullSafe(alike.row_id) & (rows.row_text == alike.row_text)
+    once = rows.join(alike, same, "left_semi").dropDuplicates(["row_id", "row_text"])
+    return rows.join(alike, same, "left_anti").unionByName(once).select("row.*")

@@ -14,15 +14,14 @@ curve over the best segment's normalised score and the text's mean gives the sco
 Training takes at most about `MAX_ROWS` labelled rows (a documented bound for a classifier, chosen by hash of the id); the
 log-odds table reaches the driver, with tokens of fewer than `MIN_DOCS` rows left to their prefixes. All texts are scored whole.
 
-Nulls: null and empty texts get the score of a text without tokens; rows without a label aren't learned from; of several labels of an
-id the largest counts. Repeated rows give repeated results. An empty table gives an empty result; without toxic and other
+Nulls: null and empty texts get the score of a text without tokens; rows without a label or an id aren't learned from; of several
+labels of an id, and of the labels of equal texts, the largest counts. Repeated rows give repeated results. An empty table gives an empty result; without toxic and other
 training rows every score is the share of toxic rows, or 0. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -32,14 +31,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import Memo
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, letter_runs, row_key, slices, without
 
 MAX_ROWS = 40_000
 PRIOR, MIN_DOCS, PREFIXES = 4.0, 4, (3, 5, 7)
 SIGNIFICANT = 0.01
 #: A level is kept where its log-odds differ from its prior's by this many standard errors.
 LEAST_Z = 4.0
-_letters = re.compile(r"[^\W\d_]+")
+#: Counts that a worker holds before it hands them on.
+HELD_COUNTS = 100_000
 
 
 def held_out(id_col: Column, folds: int = 5, fold: int = 0) -> Column:
@@ -100,7 +100,7 @@ class Scores:
 
     def stretch(self, text: str) -> float:
         """Sum over the letter runs of a stretch without white space."""
-        return sum(self.token(w) for w in _letters.findall(text.lower()))
+        return sum(self.token(w) for w in letter_runs().findall(text.lower()))
 
     def significance(self, segment: float, tokens: int) -> float:
         """Normalised score; exp(-exp(-x)) is the chance of a lower one."""
@@ -123,25 +123,35 @@ def count_tokens(train: DataFrame, text_col: str, label_col: str, fold_col: str)
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            sums: dict[tuple[int, str], list[float]] = defaultdict(lambda: [0.0, 0.0, 0])
-            for text, label, fold in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+        find = letter_runs().findall
+        kinds = (pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.int64())
+
+        def rows(sums: dict[tuple[int, str], list[float]]):
+            columns = zip(*((*k, *v) for k, v in sums.items()), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["fold", "level", "toxic", "other", "docs"])
+
+        sums: dict[tuple[int, str], list[float]] = {}
+        for batch in slices(batches, 0):
+            for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words: dict[str, int] = defaultdict(int)
+                for word in find((text or "").lower()):
+                    words[word] += 1
                 counts: dict[str, int] = defaultdict(int)
-                for word in _letters.findall((text.as_py() or "").lower()):
+                for word, n in words.items():
                     for level in _levels(word):
-                        counts[level] += 1
-                    counts[""] += 1
-                label, fold = label.as_py(), fold.as_py()
+                        counts[level] += n
+                    counts[""] += n
                 for level, n in counts.items():
-                    held = sums[fold, level]
+                    held = sums.get((fold, level))
+                    if held is None:
+                        held = sums[fold, level] = [0.0, 0.0, 0]
                     held[0 if label else 1] += n if level == "" else 1 + math.log(n)
                     held[2] += 1
-            if sums:
-                keys = list(sums)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys]), *(pa.array([sums[k][j] for k in keys], kind) for j, kind in ((0, pa.float64()), (1, pa.float64()), (2, pa.int64())))],
-                    ["fold", "level", "toxic", "other", "docs"],
-                )
+                if len(sums) >= HELD_COUNTS:
+                    yield rows(sums)
+                    sums = {}
+        if sums:
+            yield rows(sums)
 
     counted = train.select(text_col, F.col(label_col).cast("int"), F.col(fold_col).cast("int")).mapInArrow(run, "fold int, level string, toxic double, other double, docs long")
     return counted.groupBy("fold", "level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs"))
@@ -230,13 +240,14 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: int = 5) -> Scores:
     """Learns from all labelled rows given; the caller leaves out what is held out."""
     scratch = Scratch(docs.sparkSession, "toxicity")
-    known = labels.where(F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("_toxic"))
+    known = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("known_id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     total = known.count()
     share = min(1.0, MAX_ROWS / max(total, 1))
-    few = scratch.table(known.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000) + 1), "labels")
-    rows = docs.select(id_col, text_col).join(few, id_col).withColumn("_fold", _fold(F.xxhash64(id_col), folds))
-    # copies would speak for each other in the fold that must be unseen
-    rows = scratch.table(rows.select(F.col(text_col).cast("string").alias("text"), "_toxic", "_fold").dropDuplicates(["text"]), "rows")
+    few = scratch.table(known.where(F.pmod(F.xxhash64("known_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1), "labels")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(few, F.col("id") == F.col("known_id"))
+    # copies would speak for each other in the fold that must be unseen: equal texts are one row of one fold
+    rows = rows.groupBy("text").agg(F.max("toxic").alias("_toxic"))
+    rows = scratch.table(rows.withColumn("_fold", F.pmod(F.xxhash64("text"), F.lit(folds)).cast("int")), "rows")
     counts = scratch.table(count_tokens(rows, "text", "_toxic", "_fold"), "counts")
     by_level = lambda df: df.groupBy("level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"), F.sum("docs").alias("docs")).where(F.col("docs") >= MIN_DOCS).select("level", "toxic", "other").toArrow()
     # the law of chance and the curve are fitted on a fold that the log-odds of `part` haven't seen
@@ -263,33 +274,41 @@ def scan(docs: DataFrame, scores: Scores, text_col: str, *keep: str) -> DataFram
 
         reader = Reader(held.value)
         passage = pa.struct([("first", pa.int32()), ("past", pa.int32()), ("score", pa.float64()), ("p_value", pa.float64())])
-        for whole in batches:
-            for start in range(0, whole.num_rows, 512):
-                batch = whole.slice(start, 512)
-                out: list[tuple] = []
-                for text in batch.column(len(keep)):
-                    values, best, total = reader.scan(text.as_py() or "")
-                    spans = [dict(zip(("first", "past", "score", "p_value"), x, strict=True)) for x in reader.passages(values, best)]
-                    out.append((best, total, len(values), reader.scores.probability(best, total, len(values)), spans))
-                columns = zip(*out, strict=True)
-                kinds = (pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(passage))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *(pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True))], [*keep, "best", "total", "tokens", "probability", "passages"])
-
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    schema = kinds + "best double, total double, tokens long, probability double, passages array<struct<first:int,past:int,score:double,p_value:double>>"
+        kinds = (pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.list_(passage))
+        names = [*keep, "best", "total", "tokens", "probability", "passages"]
+        for batch in slices(batches, len(keep)):
+            out: list[tuple] = []
+            for text in batch.column(len(keep)):
+                values, best, total = reader.scan(text.as_py() or "")
+                spans = [dict(zip(("first", "past", "score", "p_value"), x, strict=True)) for x in reader.passages(values, best)]
+                out.append((best, total, len(values), reader.scores.probability(best, total, len(values)), spans))
+            made = (pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), *made], names)
+
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    schema = kept + "best double, total double, tokens long, probability double, passages array<struct<first:int,past:int,score:double,p_value:double>>"
     return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, schema)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """Per document: id, held_out, score, predicted, n_passages. Learns from labelled rows that aren't held out."""
+def _scanned(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """row_id, row_text and the scan of every row; learns from labelled rows that aren't held out."""
     seen = labels.where(~held_out(F.col(id_col)))
     model = train(docs, seen.select(id_col, label_col), id_col, text_col, label_col)
-    out = scan(docs.select(id_col, text_col), model, text_col, id_col)
-    return out.select(id_col, held_out(F.col(id_col)).alias("held_out"), F.col("probability").alias("score"), (F.col("probability") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+    return scan(docs.select(*row_key(id_col, text_col), F.col(text_col).alias("text")), model, "text", "row_id", "row_text")
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
+    """Per document: id, held_out, score, predicted, n_passages, passages."""
+    out = _scanned(docs, labels, id_col, text_col, label_col)
+    predicted = (F.col("probability") >= 0.5).cast("int")
+    return out.select(
+        F.col("row_id").alias(id_col), held_out(F.col("row_id")).alias("held_out"), F.col("probability").alias("score"), predicted.alias("predicted"),
+        F.size("passages").alias("n_passages"), "passages",
+    )
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose text isn't predicted toxic. Rejected ids go; ids are expected to be unique."""
-    bad = score_toxicity(docs, labels, id_col, text_col).where("predicted = 1").select(F.col(id_col).alias("_bad"))
-    bad = Scratch(docs.sparkSession, "toxic").table(bad, "ids")  # written, so that its size decides how it is joined
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents whose text isn't predicted toxic. A row is known by its id and text, so a null or shared id takes no other row along."""
+    bad = _scanned(docs, labels, id_col, text_col, "toxic").where("probability >= 0.5").select("row_id", "row_text")
+    bad = Scratch(docs.sparkSession, "toxic").table(bad, "rows")  # written, so that its size decides how it is joined
+    return without(docs, bad, id_col, text_col)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tessera.llm import bpe, compact_windows, decontaminate, exact_dedup, jaccard_join, langid, line_dedup, queries, sharding, token_files, toxicity
 
-DDL = "doc_id long, text string, lang string, source string, n_chars long, id long, w string, key string, rep long, text_id long"
+#: Columns of a pipeline's documents, and others with names that the operators use themselves.
+EXTRA = ("id", "w", "key", "rep", "text_id", "row", "row_id", "row_text", "_id", "_th", "_bad", "_gone", "_n_lines", "_n_removed", "number", "class_id", "first", "kept", "sha", "line", "_text", "_toxic")
+DDL = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in EXTRA)
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -36,7 +38,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(i, t, "en" if k % 2 else "de", f"src{k % 3}", len(t or ""), 7, "x", "y", 0, 1) for k, (i, t) in enumerate(TEXTS)]
+    rows = [(i, t, "en" if k % 2 else "de", f"src{k % 3}", len(t or ""), *([7] * len(EXTRA))) for k, (i, t) in enumerate(TEXTS)]
     return spark.createDataFrame(rows, DDL).repartition(3)
 
 
@@ -197,13 +199,19 @@ def test_token_files(docs, empty, tmp_path, spark):
 
 
 def test_line_dedup(docs, empty, spark):
-    lines = ["Shared line", "own %d", "", " shared LINE ", "--"]
-    some = spark.createDataFrame([(k, "\n".join(lines) % k, f"s{k % 4}") for k in range(8)] + [(8, None, "s1"), (9, "", "s2"), (10, "shared line", None)], "doc_id long, text string, source string")
-    got = {r["doc_id"]: (r["text"], r["_n_lines"], r["_n_removed"]) for r in rows(line_dedup.clean_lines(some, 4))}
-    assert got[3] == ("own 3\n\n--", 5, 2) and got[8] == (None, 0, 0) and got[9] == ("", 1, 0) and got[10] == ("", 1, 1)
-    assert rows(line_dedup.clean_lines(some, 5).where("_n_removed > 0")) == []
+    lines = ["Shared line", "own %d", "", " shared LINE \t\r", "--"]
+    some = spark.createDataFrame([(k, "\n".join(lines) % k, f"s{k % 4}", 1) for k in range(8)] + [(8, None, "s1", 1), (9, "", "s2", 1), (10, "shared line", None, 1), (None, "shared line\nmine", None, 1), (None, "yours", None, 1)], "doc_id long, text string, source string, n_chars int")
+    got = {r["doc_id"]: r for r in rows(line_dedup.clean_lines(some, 4, length_col="n_chars").where("doc_id IS NOT NULL"))}
+    assert got[3]["text"] == "own 3\n\n--" and got[3]["n_chars"] == 9 and got[8]["text"] is None and got[9]["text"] == "" and got[10]["text"] == "" and got[9]["n_chars"] == 1
+    assert {r["text"] for r in rows(line_dedup.clean_lines(some, 4).where("doc_id IS NULL"))} == {"mine", "yours"}
+    report = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in rows(line_dedup.line_report(some, 4))}
+    assert report[3] == (5, 2) and report[8] == (0, 0) and report[9] == (1, 0) and report[10] == (1, 1)
+    assert rows(line_dedup.line_report(some, 5).where("n_removed > 0")) == []
+    assert line_dedup.threshold(some, "source") == 2 and line_dedup.threshold(docs, "source") == 2  # half of four sites, of three
+    many = spark.range(200).selectExpr("'x' AS text", "id % 50 AS source")
+    assert line_dedup.threshold(many, "source") == line_dedup.MOST_SITES
     out = line_dedup.clean_lines(docs)
-    assert out.columns[:-2] == docs.columns and out.count() == len(TEXTS)
+    assert out.columns == docs.columns and out.count() == len(TEXTS)
     assert rows(line_dedup.line_report(empty)) == []
 
 
