@@ -1,8 +1,8 @@
 """A corpus pipeline over `documents`: toxicity, line dedup, near duplicates, decontamination, BPE.
 
 Every stage works on all rows that its predecessor kept. All but the last return the columns of documents (n_chars follows the
-text where lines go); the last returns each document's token ids. Rows with a null id are kept by the filtering stages unless
-they are rejected themselves; repeated ids are treated as one document.
+text where lines go); the last returns each document's token ids. Filtering stages know a row by its id and its text: a row with a
+null or shared id is judged by its own text, and rows alike in both are judged alike (of near copies, one of them stays).
 """
 
 from __future__ import annotations
@@ -24,10 +24,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.clean_lines(docs)
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    return line_dedup.clean_lines(docs, length_col="n_chars")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
