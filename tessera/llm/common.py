@@ -17,6 +17,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words: all of ASCII but digits and lower-case letters (after ascii_lower).
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 LOCAL_SHARED = "/tmp/checkpoints/tessera"
+#: Rows of a narrow table (some 50 bytes each) that may be broadcast.
+BROADCAST_ROWS = 200_000
 #: Bytes of text that a Python worker takes at a time; a longer text is taken alone.
 SLICE_BYTES = 1 << 20
 
@@ -39,12 +41,13 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-        self._made = 0
+        self._made, self.last = 0, ""
         atexit.register(self.drop)
 
     def path(self, name: str) -> str:
         self._made += 1
-        return f"{self.root}/{self._made:03d}-{name}"
+        self.last = f"{self.root}/{self._made:03d}-{name}"
+        return self.last
 
     def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         path = self.path(name)
@@ -64,6 +67,11 @@ class Scratch:
             pass
 
 
+def broadcast_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table of narrow rows with a broadcast hint if it has at most so many; it is counted first. Larger ones are joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df

@@ -3,30 +3,32 @@
 Words are runs of letters, lower-cased; a model of order 4 runs over each word with boundary marks, so a word's probability
 doesn't depend on its neighbours. Counts come from every training row: words are counted per language by aggregation, then
 cut into 4-grams once per distinct word. Lower orders use continuation counts (in how many contexts a gram occurs), as
-Kneser and Ney have it, with one absolute discount per order, n1 / (n1 + 2 n2). A model is kept as sorted arrays of gram
-hashes with values beside them; looking up many grams is one binary search over arrays. No gram is pruned: each language is
-fitted whole in a task of its own, and the arrays of all languages are broadcast, so they grow with the distinct grams.
-
-A text goes to the language with the lowest cross-entropy per character. The score is the posterior of that language under
-a temperature fitted on `CALIBRATION_ROWS` training rows (a documented bound, taken by hash of the id); `rejected` marks
-texts whose cross-entropy lies beyond the limit that nearly all of those rows keep within.
-
-Nulls: a null text and one without letters give `und` with score 0; a null language is never learned from. Without training
-rows every text is `und`. Repeated rows give repeated results; an empty table gives an empty result. Extra columns are
-ignored.
+Kneser and Ney have it, with one absolute discount per language and order, n1 / (n1 + 2 n2). All of this is aggregation and
+windows over grams; no gram is pruned and no language is gathered in one task. The model is written to the shared folder and
+read by each worker as sorted arrays of gram hashes with values beside them; looking up many grams is one binary search. So
+it grows with the distinct grams of the corpus, in files and in workers, and doesn't pass through the driver.
+
+A text goes to the language with the lowest cross-entropy per character. The score is the posterior of that language under a
+temperature fitted on a fold of training rows that the models haven't seen: by hash of the text, about `CALIBRATION_ROWS` rows
+or a tenth of all, whichever is less (a documented bound; a language without other rows is learned from those). `rejected`
+marks texts whose cross-entropy lies beyond the limit that nearly all rows of that fold keep within.
+
+Letters are what Unicode calls so (categories L*), in training as in scoring. Nulls: a null text and one without letters give
+`und` with score 0; a null language is never learned from. Without training rows every text is `und`. Repeated rows give
+repeated results; an empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, letter_runs, slices
+from tessera.llm.token_files import open_store
 
 ORDER = 4
 CALIBRATION_ROWS = 2_000
@@ -34,7 +36,6 @@ REJECT_QUANTILE = 0.999
 LONGEST_KEPT, KEPT_WORDS = 48, 200_000
 MARK = "\x02"
 UNKNOWN = 1e-7
-_letters = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -60,9 +61,8 @@ def _hash(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _codes(grams: list[str]) -> np.ndarray:
-    width = len(grams[0]) if grams else ORDER
-    return np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(-1, width)
+def _codes(grams: list[str], width: int) -> np.ndarray:
+    return np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").reshape(len(grams), width)
 
 
 @dataclass
@@ -100,52 +100,54 @@ class Model:
         return np.log2(p)
 
 
-def fit(grams: list[str], counts: np.ndarray) -> Model:
-    """The Kneser-Ney model of one language from its 4-grams."""
-    codes, counts = _codes(grams), counts.astype(float)
-    levels = [(codes, counts)]
-    while levels[-1][0].shape[1] > 1:
-        lower, n = np.unique(levels[-1][0][:, 1:], axis=0, return_counts=True)  # distinct left contexts
-        levels.append((lower, n.astype(float)))
-    model = Model()
-    for rows, n in reversed(levels):
-        ones, twos = (n == 1).sum(), (n == 2).sum()
-        discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
-        keys, inverse = np.unique(_hash(rows[:, :-1]), return_inverse=True)
-        total, kinds = np.bincount(inverse, n), np.bincount(inverse)
-        model.gram.append(Table.of(_hash(rows), np.maximum(n - discount, 0) / total[inverse]))
-        model.context.append(Table.of(keys, discount * kinds / total))
-    return model
-
-
-def fit_languages(grams: DataFrame) -> dict[str, Model]:
-    """The models of all languages, each from all its grams, in one task per language; arrays come back in parts."""
-    part = 1 << 18
-
-    def run(key, table):
-        import pyarrow as pa
-
-        model = fit(table.column("gram").to_pylist(), table.column("n").to_numpy())
-        rows = []
-        for level in range(ORDER):
-            for kind, t in enumerate((model.gram[level], model.context[level])):
-                for at in range(0, len(t.keys), part):
-                    rows.append((key[0].as_py(), level, kind, at, t.keys[at : at + part].tobytes(), t.values[at : at + part].tobytes()))
-        kinds = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
-        return pa.table([pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["lang", "level", "kind", "at", "keys", "values"])
-
-    parts: dict[tuple, list] = {}
-    for r in grams.groupBy("lang").applyInArrow(run, "lang string, level int, kind int, at long, keys binary, values binary").toLocalIterator():
-        parts.setdefault((r["lang"], r["level"], r["kind"]), []).append((r["at"], bytes(r["keys"]), bytes(r["values"])))
+def fit(grams: DataFrame) -> DataFrame:
+    """(lang, level, context, gram, value) of the Kneser-Ney models, from (lang, gram, n) of the highest order."""
+    counts, out = grams.select("lang", "gram", F.col("n").cast("long").alias("n")), None
+    for level in range(ORDER, 0, -1):
+        if level < ORDER:  # in how many contexts a gram occurs
+            counts = counts.groupBy("lang", F.substring("gram", 2, level).alias("gram")).agg(F.count("*").alias("n"))
+        ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discount = F.when(ones + twos > 0, F.least(F.lit(0.95), F.greatest(F.lit(0.1), ones / (ones + 2 * twos)))).otherwise(0.5)
+        discounts = counts.groupBy("lang").agg(discount.alias("d"))
+        of_context = Window.partitionBy("lang", "left")
+        rows = counts.withColumn("left", F.substring("gram", 1, level - 1)).withColumns({"total": F.sum("n").over(of_context), "kinds": F.count("*").over(of_context)})
+        rows = rows.join(discounts, "lang")
+        known = rows.select("lang", F.lit(level).alias("level"), F.lit(False).alias("context"), "gram", (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("value"))
+        left = rows.select("lang", F.lit(level).alias("level"), F.lit(True).alias("context"), F.col("left").alias("gram"), (F.col("d") * F.col("kinds") / F.col("total")).alias("value")).distinct()
+        both = known.unionByName(left)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+def load(path: str) -> dict[str, Model]:
+    """The models from their table in the shared folder."""
+    import pyarrow.compute as pc
+    import pyarrow.parquet as pq
+
+    store, folder = open_store(path)
+    table = pq.read_table(folder, filesystem=store)
     models: dict[str, Model] = {}
-    for (lang, _, kind), rows in sorted(parts.items()):
-        rows.sort()
-        table = Table(np.frombuffer(b"".join(x[1] for x in rows), np.uint64), np.frombuffer(b"".join(x[2] for x in rows), np.float64))
-        model = models.setdefault(lang, Model())
-        (model.context if kind else model.gram).append(table)
+    for lang in sorted(pc.unique(table.column("lang")).to_pylist()):
+        own, model = table.filter(pc.equal(table.column("lang"), lang)), Model()
+        for level in range(1, ORDER + 1):
+            for context, tables in ((False, model.gram), (True, model.context)):
+                part = own.filter(pc.and_(pc.equal(own.column("level"), level), pc.equal(own.column("context"), context)))
+                width = level - context
+                tables.append(Table.of(_hash(_codes(part.column("gram").to_pylist(), width)), part.column("value").to_numpy()))
+        models[lang] = model
     return models
 
 
+_loaded: dict[str, Scorer] = {}
+
+
+def _scorer(path: str) -> Scorer:
+    if path not in _loaded:
+        _loaded.clear()  # a worker serves one model at a time
+        _loaded[path] = Scorer(load(path))
+    return _loaded[path]
+
+
 class Scorer:
     """Sums of log2 p per language and numbers of characters, for whole texts."""
 
@@ -158,7 +160,7 @@ class Scorer:
     def _score(self, tokens: list[str]) -> np.ndarray:
         """One row per token: sums over its letter runs, and their characters."""
         out = np.zeros((len(tokens), len(self.langs) + 1))
-        runs = [(k, w) for k, token in enumerate(tokens) for w in _letters.findall(token.lower())]
+        runs = [(k, w) for k, token in enumerate(tokens) for w in letter_runs().findall(token.lower())]
         for start in range(0, len(runs), 20_000):
             part = runs[start : start + 20_000]
             marked = [MARK * (ORDER - 1) + w + MARK for _, w in part]
@@ -200,37 +202,35 @@ class Scorer:
 
 @dataclass
 class Identifier:
-    models: dict[str, Model]
+    langs: list[str]
+    path: str = ""
     sharpness: float = 8.0
     limits: dict[str, float] = field(default_factory=dict)
 
     def entropies(self, docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
         """`keep` columns, bits per character for each language (in order of name), and number of characters with marks."""
-        models = docs.sparkSession.sparkContext.broadcast(self.models)  # hashes and values of all grams
-        langs = len(self.models)
+        path, langs = self.path, len(self.langs)
 
         def run(batches: Iterator) -> Iterator:
             import pyarrow as pa
 
-            scorer = Scorer(models.value)
-            for whole in batches:
-                for start in range(0, whole.num_rows, 256):
-                    batch = whole.slice(start, 256)
-                    sums = scorer.texts([t.as_py() or "" for t in batch.column(len(keep))])
-                    chars = sums[:, -1]
-                    bits = -sums[:, :-1] / np.maximum(chars, 1)[:, None]
-                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * langs, pa.int32()), pa.array(bits.ravel()))
-                    yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), lists, pa.array(chars.astype(np.int64))], [*keep, "bits", "chars"])
+            scorer = _scorer(path)
+            for batch in slices(batches, len(keep)):
+                sums = scorer.texts([t.as_py() or "" for t in batch.column(len(keep))])
+                chars = sums[:, -1]
+                bits = -sums[:, :-1] / np.maximum(chars, 1)[:, None]
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1) * langs, pa.int32()), pa.array(bits.ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(keep))), lists, pa.array(chars.astype(np.int64))], [*keep, "bits", "chars"])
 
         kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
         return docs.select(*keep, F.col(text_col).cast("string").alias("_text")).mapInArrow(run, f"{kinds}, bits array<double>, chars long")
 
     def predict(self, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         """id, lang_pred, score, bits_per_char, rejected."""
-        if not self.models:
+        if not self.langs:
             return docs.select(id_col, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits_per_char"), F.lit(True).alias("rejected"))
-        langs = F.array(*[F.lit(x) for x in sorted(self.models)])
-        limits = F.array(*[F.lit(float(self.limits.get(x, 1e9))) for x in sorted(self.models)])
+        langs = F.array(*[F.lit(x) for x in self.langs])
+        limits = F.array(*[F.lit(float(self.limits.get(x, 1e9))) for x in self.langs])
         out = self.entropies(docs, text_col, id_col)
         best = F.array_min("bits")
         at = F.array_position("bits", best).cast("int")
@@ -245,25 +245,29 @@ class Identifier:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Identifier:
     """Learns from all rows given; the caller leaves out what is held out."""
     scratch = Scratch(docs.sparkSession, "langid")
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    grams = scratch.table(gram_counts(rows, text_col, lang_col), "grams")
-    models = fit_languages(grams)
-    out = Identifier(models)
-    if models:
-        total = rows.count()
-        share = min(1.0, CALIBRATION_ROWS / max(total, 1))
-        few = rows.where(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-        seen = out.entropies(few.withColumn("_lang", F.col(lang_col).cast("string")), text_col, "_lang").where("chars > 0").limit(2 * CALIBRATION_ROWS).toPandas()
-        _calibrate(out, seen)
+    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    total = rows.count()
+    share = min(0.1, CALIBRATION_ROWS / max(total, 1))
+    # equal texts lie on the same side
+    rows = rows.withColumn("unseen", F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
+    alone = scratch.table(rows.groupBy("lang").agg(F.min("unseen").alias("alone")).where("alone").select("lang"), "alone")
+    learned = rows.where("NOT unseen").unionByName(rows.where("unseen").join(alone, "lang", "left_semi"))
+    grams = scratch.table(gram_counts(learned, "text", "lang"), "grams")
+    model = scratch.table(fit(grams), "model")
+    langs = [r[0] for r in model.select("lang").distinct().orderBy("lang").collect()]  # a name for each language
+    out = Identifier(langs, scratch.last)
+    if langs:
+        fold = out.entropies(rows.where("unseen"), "text", "lang").where("chars > 0")
+        _calibrate(out, fold.toPandas())  # about CALIBRATION_ROWS rows of one number per language
     return out
 
 
 def _calibrate(model: Identifier, seen) -> None:
-    langs = sorted(model.models)
+    langs = model.langs
     if not len(seen):
         return
     bits = np.stack(seen["bits"].to_list())
-    truth = np.array([langs.index(x) if x in langs else -1 for x in seen["_lang"]])
+    truth = np.array([langs.index(x) if x in langs else -1 for x in seen["lang"]])
     bits, truth = bits[truth >= 0], truth[truth >= 0]
     if not len(truth):
         return

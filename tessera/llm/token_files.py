@@ -4,15 +4,17 @@ A shard file holds the ids of a run of documents in ascending id order, each wit
 fewest bits that hold the vocabulary's largest id; blocks of BLOCK ids are packed on their own, so block k starts at a
 known byte and any id is found by arithmetic. Layout: MAGIC, blocks, footer, length of the footer (8 bytes little-endian),
 MAGIC. The footer (JSON line, then raw arrays) has width, block size, number of ids, and for each document its id and its
-number of ids. Unpacking a block is one vectorised numpy expression.
+number of ids; the first `nulls` documents have none. Unpacking a block is one vectorised numpy expression.
 
-Shards come of a range partitioning by id, so shard order is id order and the start of a shard is the sum of the counts
-before it: one row per shard reaches the driver. Files are written under a name of the attempt and then moved: a task
-that is run again, or twice at once, puts the same bytes in the same place. The folder is reached through pyarrow's file
-systems (file:, hdfs:, s3:, gs:), so it may be anything that all executors share.
+Texts are encoded where they lie; what is written, sampled for the ranges, shuffled and sorted is their packed ids, a third of
+the texts' bytes here. Shards come of a range partitioning by id and a hash of the text, so shard order is id order, rows that
+share an id or have none spread over shards, and the start of a shard is the sum of the counts before it: one row per shard
+reaches the driver. Files are written under a name of the attempt and then moved: a task that is run again, or twice at once,
+puts the same bytes in the same place. The folder is reached through pyarrow's file systems (file:, hdfs:, s3:, gs:), so it
+may be anything that all executors share.
 
-Nulls: a null text gives the end id alone; null ids come first. Repeated ids lie beside each other, ordered by text. An
-empty table gives no shard. Extra columns are ignored.
+Nulls: a null text gives the end id alone; null ids come first. Repeated ids lie beside each other, ordered by a hash of their
+texts. An empty table gives no shard. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,10 +33,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bpe import Cutter, Memo, fill
-from tessera.llm.common import Scratch, shuffle_partitions
+from tessera.llm.common import Scratch, shuffle_partitions, slices
 
-MAGIC, BLOCK = b"TKPACK01", 1 << 16
-NULL_ID = -(1 << 63)
+MAGIC, BLOCK = b"TKPACK02", 1 << 16
+#: Bytes of a shard file: up to MOST_BYTES; less, but LEAST_BYTES, where that gives no more files than shuffle partitions.
+LEAST_BYTES, MOST_BYTES = 16 << 20, 256 << 20
 _odd = re.compile("[\x1c-\x1f]")
 #: Below U+0250, and without U+0130, NFC changes nothing and lower-casing goes character by character in every library.
 _beyond = re.compile("[\u0130\u0250-\U0010ffff]").search
@@ -69,17 +72,21 @@ def open_store(uri: str):
 class ShardWriter:
     """Streams ids to a file; holds one block and 16 bytes for each document."""
 
-    def __init__(self, uri: str, vocab_size: int):
+    def __init__(self, uri: str, width: int):
         self.fs, self.path = open_store(uri)
         self.temporary = f"{self.path}.{uuid.uuid4().hex}.tmp"
-        self.width, self.n, self.held, self.size = bits_for(vocab_size), 0, [], 0
+        self.width, self.n, self.held, self.size, self.nulls = width, 0, [], 0, 0
         self.docs: list[int] = []
         self.counts: list[int] = []
         self.out = self.fs.open_output_stream(self.temporary)
         self.out.write(MAGIC)
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
-        self.docs.append(NULL_ID if doc is None else doc)
+        if doc is None:
+            self.nulls += 1
+            if self.nulls <= len(self.docs):
+                raise ValueError("documents without an id come first")
+        self.docs.append(doc or 0)
         self.counts.append(len(ids))
         self.held.append(ids)
         self.size += len(ids)
@@ -94,7 +101,7 @@ class ShardWriter:
     def close(self) -> None:
         if self.size:
             self.out.write(pack(np.concatenate(self.held), self.width))
-        head = json.dumps({"width": self.width, "block": BLOCK, "n": self.n, "docs": len(self.docs)}).encode() + b"\n"
+        head = json.dumps({"width": self.width, "block": BLOCK, "n": self.n, "docs": len(self.docs), "nulls": self.nulls}).encode() + b"\n"
         footer = head + np.array(self.docs, "<i8").tobytes() + np.array(self.counts, "<i8").tobytes()
         self.out.write(footer + len(footer).to_bytes(8, "little") + MAGIC)
         self.out.close()
@@ -114,7 +121,7 @@ class ShardReader:
         self.file.seek(end - length)
         head, _, arrays = self.file.read(length).partition(b"\n")
         spec = json.loads(head)
-        self.width, self.block, self.n = spec["width"], spec["block"], spec["n"]
+        self.width, self.block, self.n, self.nulls = spec["width"], spec["block"], spec["n"], spec["nulls"]
         self.docs = np.frombuffer(arrays, "<i8", spec["docs"])
         self.counts = np.frombuffer(arrays, "<i8", spec["docs"], 8 * spec["docs"])
 
@@ -133,7 +140,7 @@ class ShardReader:
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Each document's id, start in the shard, and ids, block by block."""
         at, block, values = 0, -1, np.empty(0, np.uint32)
-        for doc, n in zip(self.docs.tolist(), self.counts.tolist(), strict=True):
+        for k, (doc, n) in enumerate(zip(self.docs.tolist(), self.counts.tolist(), strict=True)):
             parts, pos, left = [], at, n
             while left:
                 if pos // self.block != block:
@@ -141,7 +148,7 @@ class ShardReader:
                     values = self.read_block(block)
                 parts.append(values[pos % self.block :][:left])
                 pos, left = pos + len(parts[-1]), left - len(parts[-1])
-            yield None if doc == NULL_ID else doc, at, np.concatenate(parts) if parts else np.empty(0, np.uint32)
+            yield None if k < self.nulls else doc, at, np.concatenate(parts) if parts else np.empty(0, np.uint32)
             at += n
 
 
@@ -198,29 +205,49 @@ def _encoder(path: str) -> LibraryEncoder:
     return _encoders[path]
 
 
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """id, mark (hash of the text), n, width, packed (the ids and the end id in the fewest bits)."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        encoder, end = _encoder(tokenizer), np.array([end_id], np.uint32)
+        width = bits_for(encoder.vocab_size)
+        for batch in slices(batches, 2):
+            ids = [np.concatenate([np.frombuffer(encoder.encode(t.as_py() or ""), "<u4"), end]) for t in batch.column(2)]
+            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32()), pa.array([pack(x, width) for x in ids], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "mark", "n", "width", "packed"])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).cast("string").alias("text"))
+    return slim.mapInArrow(run, "id long, mark long, n long, width int, packed binary")
+
+
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shards: int | None = None) -> list[tuple[int, int, int, str]]:
     """Writes the shard files; (shard, start, ids, uri) in order, one entry per file."""
     spark = docs.sparkSession
     fs, base = open_store(folder)
     fs.create_dir(base, recursive=True)
+    ready = Scratch(spark, "encoded").table(encoded(docs, tokenizer, end_id, id_col, text_col), "ids")
+    if shards is None:
+        size = ready.agg(F.coalesce(F.sum(F.octet_length("packed")), F.lit(0))).first()[0]
+        shards = max(1, -(-size // MOST_BYTES), min(shuffle_partitions(spark), -(-size // LEAST_BYTES)))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encoder, writer, end = _encoder(tokenizer), None, np.array([end_id], np.uint32)
-        shard = TaskContext.get().partitionId()
+        writer, shard = None, TaskContext.get().partitionId()
         uri = f"{folder}/shard-{shard:06d}.bin"
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                writer = writer or ShardWriter(uri, encoder.vocab_size)
-                writer.add(doc.as_py(), np.concatenate([np.frombuffer(encoder.encode(text.as_py() or ""), "<u4"), end]))
+            for doc, n, width, packed in zip(batch.column(0), batch.column(2), batch.column(3), batch.column(4), strict=True):
+                writer = writer or ShardWriter(uri, width.as_py())
+                writer.add(doc.as_py(), unpack(packed.as_py(), n.as_py(), width.as_py()))
         if writer:
             writer.close()
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([writer.n], pa.int64()), pa.array([uri])], ["shard", "n", "uri"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ranged = slim.repartitionByRange(shards or shuffle_partitions(spark), F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = [F.col("id").asc_nulls_first(), F.col("mark").asc()]
+    ranged = ready.repartitionByRange(shards, *order).sortWithinPartitions(*order)
     made = sorted(tuple(r) for r in ranged.mapInArrow(run, "shard int, n long, uri string").collect())  # one row per shard
     starts = accumulate((n for _, n, _ in made), initial=0)
     return [(shard, start, n, uri) for (shard, n, uri), start in zip(made, starts, strict=False)]

@@ -187,7 +187,7 @@ def test_token_files(docs, empty, tmp_path, spark):
     shards = token_files.write_shards(docs, f"file://{tmp_path}/s", path, 2, shards=3)
     got = {(r["doc_id"], r["start"]): r for r in rows(token_files.read_shards(spark, shards, with_ids=True))}
     start = 0
-    for i, t in sorted(TEXTS, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or "")):
+    for i, t in sorted(TEXTS, key=lambda x: (x[0] is not None, x[0] or 0)):
         ids = [*lib.encode(t or "", add_special_tokens=False).ids, 2]
         r = got[i, start]
         assert r["ids"] == ids and r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
@@ -223,9 +223,6 @@ def test_language_id(docs, empty, spark):
     assert [got[k]["lang_pred"] for k in range(1, 6)] == ["de", "en", "und", "und", "und"] and all(0 <= r["score"] <= 1 for r in got.values())
     assert len(rows(langid.identify(docs))) == len(TEXTS)
     assert rows(langid.identify(empty)) == []
-    one = langid.fit(["\x02\x02\x02a", "\x02\x02ab", "\x02ab\x02"], np.array([2, 2, 2]))
-    total = sum(2.0 ** float(one.log2p(np.array([[2, 2, 2, ord(c)]]))[0]) for c in "ab\x02")
-    assert 0.9 < total <= 1  # what is left is for characters never seen
 
 
 def test_maximal_segments():
@@ -279,7 +276,7 @@ def test_repeated_passages(docs, empty):
 
 def test_compact_windows_cover_each_subsequence_once():
     rng = np.random.default_rng(11)
-    values = rng.integers(1, 40, 60, np.uint64)  # with ties
+    values = rng.integers(1, 40, 60, np.uint64) << np.uint64(40)  # with ties
     values[30] = 0
     l, c, r = compact_windows.windows(values, 4)
     found = list(zip(l.tolist(), c.tolist(), r.tolist(), strict=True))
