@@ -52,6 +52,22 @@ def at_least(value: Column, count_of: Column, window: WindowSpec, n: int) -> Col
     return F.when(F.count(count_of).over(window) >= n, value)
 
 
+def rolling_std(df: DataFrame, x: str, by: Sequence[str], order: str, rows: int, least: int, name: str) -> DataFrame:
+    """Adds the sample deviation of the last `rows` rows, where so many of them have a finite value.
+
+    Running sums and their differences to `rows` rows before: the work doesn't grow with the frame, as it does where a sliding
+    frame is summed anew for each row. Values are centred on the group's mean first, so that little cancels.
+    """
+    whole, line = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(order)
+    run = line.rowsBetween(Window.unboundedPreceding, 0)
+    value = F.when(is_finite(F.col(x)), F.col(x))
+    out = df.withColumn("_c", value - F.avg(value).over(whole))
+    sums = {"_n": F.count("_c").over(run), "_s": F.sum("_c").over(run), "_q": F.sum(F.col("_c") * F.col("_c")).over(run)}
+    out = out.withColumns(sums).withColumns({c: F.coalesce(F.col(c), F.lit(0)) - F.coalesce(F.lag(c, rows).over(line), F.lit(0)) for c in sums})
+    spread = F.sqrt(F.greatest((F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1), F.lit(0.0)))
+    return out.withColumn(name, F.when((F.col("_n") >= least) & (F.col("_n") > 1), spread)).drop("_c", *sums)
+
+
 def pct_change(x: Column, n: int, by: Sequence[str], order: str, fill: bool = True) -> Column:
     """x / (x n rows before) - 1. With fill, a NULL takes the last value before it, as data frames in research usually do."""
     w = Window.partitionBy(*by).orderBy(order)

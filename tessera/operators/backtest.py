@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import is_finite
+from tessera.operators.asof import asof
 from tessera.operators.calendar import day_axis, month_ends, shift
 
 
@@ -58,8 +59,16 @@ def schedules(axis: DataFrame, c: BacktestConfig) -> DataFrame:
     s = shift(ends.select((F.col("day_index") - c.signal_lag_days).alias("day_index"), F.col("date").alias("rebalance_date")), axis, 0, "signal_date")
     s = shift(s, axis, c.entry_lag_days, "entry_date").where(F.col("entry_date").between(F.to_date(F.lit(c.start)), F.to_date(F.lit(c.end))))
     order = Window.orderBy("entry_date", "signal_date")
-    s = s.select(F.row_number().over(order).alias("k"), "signal_date", "entry_date", F.coalesce(F.lead("entry_date").over(order), F.to_date(F.lit(c.end))).alias("exit_date"))
-    return s
+    return s.select(F.row_number().over(order).alias("k"), "signal_date", "entry_date", F.coalesce(F.lead("entry_date").over(order), F.to_date(F.lit(c.end))).alias("exit_date"))
+
+
+def holding_days(plan: DataFrame, axis: DataFrame) -> DataFrame:
+    """(k, date): the trading days in (entry, exit] of each rebalance, by day index; an exit that is no trading day ends before it."""
+    ends = asof(plan.select("k", "entry_date", "exit_date"), axis, [], "exit_date", "date", ["day_index"]).select("k", "entry_date", F.col("day_index").alias("to"))
+    starts = axis.select(F.col("date").alias("entry_date"), F.col("day_index").alias("from"))
+    span = ends.join(F.broadcast(starts), "entry_date").where("to > from")
+    days = span.select("k", F.explode(F.sequence(F.col("from") + 1, F.col("to"))).alias("day_index"))
+    return days.join(F.broadcast(axis.select("day_index", "date")), "day_index").select("k", "date")
 
 
 def active_universe(universe: DataFrame, c: BacktestConfig) -> DataFrame:
@@ -80,10 +89,9 @@ def targets(scores: DataFrame, universe: DataFrame, plan: DataFrame, c: Backtest
     return s.select("k", "signal_date", "entry_date", "exit_date", "security_id", F.least(F.lit(c.max_position_weight), 1.0 / F.col("selected_count")).alias("weight"), "selected_count")
 
 
-def positions(chosen: DataFrame, axis: DataFrame) -> DataFrame:
+def positions(chosen: DataFrame, plan: DataFrame, axis: DataFrame) -> DataFrame:
     """A row per holding and trading day in (entry, exit]."""
-    days = F.broadcast(axis.select("date"))
-    held = chosen.join(days, (F.col("date") > F.col("entry_date")) & (F.col("date") <= F.col("exit_date")))
+    held = chosen.join(F.broadcast(holding_days(plan, axis)), "k")
     return held.select("date", "security_id", "weight", "k", "signal_date", "entry_date")
 
 
@@ -146,7 +154,7 @@ def run(scores: DataFrame, universe: DataFrame, prices: DataFrame, c: BacktestCo
     axis = axis if axis is not None else day_axis(prices)
     plan = schedules(axis, c)
     chosen = targets(scores, universe, plan, c, direction)
-    held = positions(chosen, axis)
+    held = positions(chosen, plan, axis)
     attributed = attribute(held, prices, c)
     book = ledger(chosen, plan, cost_model, attributed)
     final = None

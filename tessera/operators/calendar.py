@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.asof import asof
+
 
 def day_axis(dates: DataFrame, column: str = "date") -> DataFrame:
     """(date, day_index from 1). The window has one row per trading day, which a century bounds."""
@@ -17,6 +19,24 @@ def weekdays(spark: SparkSession, start: str, end: str, holidays: list[str] | No
     return days.where(~F.col("date").isin([F.to_date(F.lit(h)) for h in holidays])) if holidays else days
 
 
+def neighbours(dates: DataFrame, axis: DataFrame, column: str = "date", offset: int = 1) -> DataFrame:
+    """Adds is_open, previous and next: the trading days `offset` before and after each date, NULL beyond the calendar.
+
+    With offset 0, previous is the first trading day from the date on and next the last one up to it.
+    """
+    if offset < 0:
+        raise ValueError("offset must not be negative")
+    days = axis.select(F.col("date").alias("_day"), "day_index")
+    # how many trading days lie before the date, and up to it
+    before = asof(dates, days, [], column, "_day", ["day_index"], allow_equal=False).withColumnRenamed("day_index", "_before").drop("matched__day")
+    both = asof(before, days, [], column, "_day", ["day_index"]).withColumnRenamed("day_index", "_upto").drop("matched__day")
+    both = both.withColumn("_before", F.coalesce("_before", F.lit(0))).withColumn("_upto", F.coalesce("_upto", F.lit(0)))
+    at = lambda name, key: days.select(F.col("day_index").alias(key), F.col("_day").alias(name))
+    both = both.withColumn("_p", F.col("_before") + 1 - offset).withColumn("_n", F.col("_upto") + offset)
+    out = both.join(F.broadcast(at("previous", "_p")), "_p", "left").join(F.broadcast(at("next", "_n")), "_n", "left")
+    return out.withColumn("is_open", F.col("_upto") > F.col("_before")).drop("_before", "_upto", "_p", "_n")
+
+
 def month_ends(axis: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Last trading day of each month in the range; the range's last day counts even within a month."""
     days = axis

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import at_least, is_finite, latest, pct_change, rolling, safe_div
+from tessera.functions.exprs import at_least, is_finite, latest, pct_change, rolling, rolling_std, safe_div
 from tessera.operators.asof import asof
 from tessera.operators.cross_section import zscore
 
@@ -93,8 +93,8 @@ def momentum_52w_high(t: Tables, window: int = 252, least: int = 200) -> DataFra
 
 @factor("lowvol_252", PRICES, direction=-1)
 def lowvol_252(t: Tables, window: int = 252, least: int = 200) -> DataFrame:
-    w, x = rolling(["security_id"], "date", window), F.col("return_1d")
-    return _scored(t[PRICES], at_least(F.stddev_samp(x).over(w), x, w, least))
+    p = rolling_std(t[PRICES].select("date", "security_id", "return_1d"), "return_1d", ["security_id"], "date", window, least, "spread")
+    return _scored(p, F.col("spread"))
 
 
 def first_account(accounts: tuple[str, ...]) -> Column:

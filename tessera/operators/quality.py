@@ -31,6 +31,27 @@ def source_mismatch(prices: DataFrame, a: str, b: str, tolerance: float = 0.001)
     return wide.where(F.abs(safe_div(F.col(a), F.col(b)) - 1) > tolerance)
 
 
+# Trading days after which a dataset's newest partition is old (None: never), and whether it may be missing.
+DATASET_LIMITS = {
+    "silver.prices": (2, False), "silver.market_caps": (130, False), "gold.daily_prices_adj": (2, False), "gold.daily_market_caps": (2, False),
+    "gold.fundamentals_pit": (45, False), "silver.financials": (45, False), "silver.filings": (10, False), "silver.dividends": (260, False),
+    "silver.share_counts": (260, False), "silver.nps_holdings": (130, True), "silver.corporate_actions": (None, True), "gold.universe_history": (2, False),
+    "gold.filing_events": (10, False), "gold.nps_universe": (130, True), "gold.preferred_discount": (2, False),
+}
+
+
+def lake_scorecard(partitions: DataFrame, calendar: DataFrame, limits: dict[str, tuple[int | None, bool]] | None = None) -> DataFrame:
+    """Grades of all datasets that a lake should have, each by its own limit; a missing one gets F, or A where it may be missing."""
+    limits = limits or DATASET_LIMITS
+    specs = calendar.sparkSession.createDataFrame([(k, days, may) for k, (days, may) in limits.items()], "dataset string, limit_days int, may_be_empty boolean")
+    g = scorecard(partitions, calendar, 0).drop("grade").join(F.broadcast(specs), "dataset", "right")
+    share = safe_div(F.col("rows").cast("double"), F.col("typical_rows").cast("double"))
+    fresh = F.when(F.col("age_days") > 3 * F.col("limit_days"), 2).when(F.col("age_days") > F.col("limit_days"), 1).otherwise(0)
+    full = F.when(share < 0.1, 2).when(share < 0.5, 1).otherwise(0)
+    worst = F.when(F.col("last_date").isNull(), F.when(F.col("may_be_empty"), 0).otherwise(2)).otherwise(F.greatest(fresh, full))
+    return g.withColumn("grade", F.element_at(F.array(F.lit("A"), F.lit("C"), F.lit("F")), worst + 1)).drop("may_be_empty")
+
+
 def scorecard(partitions: DataFrame, calendar: DataFrame, limit_days: int, trailing: int = 20) -> DataFrame:
     """Grades of datasets from rows per partition date: (dataset, last_date, age_days, rows, typical_rows, grade).
 
@@ -72,6 +93,20 @@ def jump_audit(prices: DataFrame, threshold: float) -> DataFrame:
     return p.where(F.abs("return_1d") >= threshold)
 
 
+def flagged_jumps(audit: DataFrame, cluster: int) -> DataFrame:
+    """Jumps with audit_flag: clustered_date where a day has at least so many, else zero_volume, halted or large_return. audit: date, volume, is_halted."""
+    first = F.when(F.coalesce("volume", F.lit(0)) == 0, "zero_volume").when(F.coalesce("is_halted", F.lit(False)), "halted").otherwise("large_return")
+    days = audit.groupBy("date").agg(F.count("*").alias("_n")).where(F.col("_n") >= cluster)
+    j = audit.join(days, "date", "left")
+    return j.withColumn("audit_flag", F.when(F.col("_n").isNotNull(), "clustered_date").otherwise(first)).drop("_n")
+
+
+def jump_summary(flagged: DataFrame) -> DataFrame:
+    """Per security: number of jumps, first and last day, the largest, and its flags in order."""
+    size = F.abs("return_1d")
+    return flagged.groupBy("security_id").agg(F.count("*").alias("event_count"), F.min("date").alias("first_event_date"), F.max("date").alias("last_event_date"), F.max(size).alias("max_abs_return"), F.array_join(F.array_sort(F.collect_set("audit_flag")), "|").alias("flags"))
+
+
 def jump_clusters(audit: DataFrame) -> DataFrame:
     """Per date: number of jumps and the securities, joined in order."""
     return audit.groupBy("date").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("security_id")), "|").alias("securities"))

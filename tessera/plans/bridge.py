@@ -6,11 +6,14 @@ rests on; `ctes` gives the WITH list of a set of names in order.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
-_TITLES = "CASE CAST(o_orderkey % 12 AS INT) WHEN 0 THEN '주요사항보고서(자기주식 취득 결정)' WHEN 1 THEN '주요사항보고서(유상증자결정)' WHEN 2 THEN '현금ㆍ현물배당 결정' WHEN 3 THEN '자기주식처분 결정' WHEN 4 THEN '사업보고서 (2023.12)' WHEN 5 THEN '최대주주변경' WHEN 6 THEN '단일판매ㆍ공급계약체결' WHEN 7 THEN '주식분할 결정' WHEN 8 THEN '회사합병 결정' WHEN 9 THEN '횡령ㆍ배임혐의발생' WHEN 10 THEN '전환사채권발행결정' ELSE '분기보고서 (2023.03)' END"
+_TITLES = "CASE CAST(o_orderkey % 12 AS INT) WHEN 0 THEN '주요사항보고서(자기주식 취득 결정)' WHEN 1 THEN '주요사항보고서(유상증자결정)' WHEN 2 THEN '현금ㆍ현물배당 결정' WHEN 3 THEN '자기주식처분 결정' WHEN 4 THEN '사업보고서 (2023.12)' WHEN 5 THEN '최대주주변경' WHEN 6 THEN '단일판매ㆍ공급계약체결' WHEN 7 THEN CASE WHEN o_orderkey % 24 = 19 THEN '액면분할결정' ELSE '주식분할 결정' END WHEN 8 THEN '회사합병 결정' WHEN 9 THEN '횡령ㆍ배임혐의발생' WHEN 10 THEN '전환사채권발행결정' ELSE '분기보고서 (2023.03)' END"
 
 BRIDGE: dict[str, tuple[tuple[str, ...], str]] = {
     "nsupp": ((), "SELECT CAST(max(s_suppkey) AS BIGINT) AS n FROM supplier"),
@@ -31,13 +34,15 @@ BRIDGE: dict[str, tuple[tuple[str, ...], str]] = {
   num % 17 = 0 AS is_spac_pre, (num + day_index) % 97 = 0 AS is_halted FROM filled"""),
     "month_axis": (("axis",), "SELECT max(date) AS date FROM axis GROUP BY year(date), month(date)"),
     "fin": (("nsupp",), """SELECT 'S' || lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS security_id, lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS ticker,
-  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'ifrs-full_ProfitLoss' WHEN '2' THEN 'ifrs-full_Assets' WHEN '3' THEN 'ifrs-full_Equity' WHEN '4' THEN 'ifrs-full_Revenue' ELSE 'ifrs-full_Liabilities' END AS account_id,
+  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN CASE WHEN o_orderkey % 7 = 0 THEN 'ifrs-full_ProfitLossBeforeTax' ELSE 'ifrs-full_ProfitLoss' END WHEN '2' THEN CASE WHEN o_orderkey % 7 = 0 THEN 'dart_AcquisitionOfTreasuryShares' ELSE 'ifrs-full_Assets' END
+  WHEN '3' THEN CASE WHEN o_orderkey % 7 = 0 THEN 'ifrs-full_EquityAndLiabilities' ELSE 'ifrs-full_Equity' END WHEN '4' THEN CASE WHEN o_orderkey % 3 = 0 THEN 'dart_OperatingIncomeLoss' ELSE 'ifrs-full_Revenue' END
+  ELSE CASE WHEN o_orderkey % 7 = 0 THEN 'ifrs-full_DividendsPaid' ELSE 'ifrs-full_Liabilities' END END AS account_id,
   CAST(date_trunc('quarter', CAST(o_orderdate AS DATE)) + INTERVAL '3' MONTH - INTERVAL '1' DAY AS DATE) AS fiscal_period_end, CAST(year(o_orderdate) AS INT) AS fiscal_year,
   CAST(CAST(o_orderdate AS DATE) + INTERVAL '45' DAY AS DATE) AS available_date, CASE WHEN month(o_orderdate) > 9 THEN '11011' ELSE '11014' END AS report_type,
   o_orderstatus = 'F' AS is_consolidated, o_totalprice AS amount, lpad(CAST(o_orderkey AS STRING), 14, '0') AS rcept_no FROM orders CROSS JOIN nsupp"""),
     "filings": (("nsupp",), f"""SELECT lpad(CAST(o_orderkey AS STRING), 14, '0') AS rcept_no, CAST(o_orderdate AS DATE) AS rcept_dt, CAST(CAST(o_orderdate AS DATE) + INTERVAL '1' DAY AS DATE) AS available_date,
   'S' || lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS security_id, lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS stock_code,
-  CASE WHEN o_orderkey % 7 = 0 THEN '[기재정정]' ELSE '' END || {_TITLES} AS report_nm, o_orderkey % 11 = 0 AS is_correction FROM orders CROSS JOIN nsupp"""),
+  CASE o_orderkey % 7 WHEN 0 THEN '[기재정정]' WHEN 1 THEN '[첨부추가] [기재정정]' WHEN 2 THEN ' [첨부추가]' ELSE '' END || {_TITLES} AS report_nm, o_orderkey % 11 = 0 AS is_correction FROM orders CROSS JOIN nsupp"""),
     "divs": (("nsupp",), """SELECT 'S' || lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS security_id, lpad(CAST(o_custkey % n + 1 AS STRING), 6, '0') AS ticker, CAST(year(o_orderdate) - 1 AS INT) AS fiscal_year,
   CAST(date_trunc('year', CAST(o_orderdate AS DATE)) - INTERVAL '1' DAY AS DATE) AS fiscal_period_end, CAST(o_orderdate AS DATE) AS available_date, floor(o_totalprice / 1000) * 1.0E0 AS cash_dividend_per_share,
   CAST(o_orderkey % 50 AS DOUBLE) / 10 AS cash_dividend_yield_pct, '11011' AS report_type, o_orderkey FROM orders CROSS JOIN nsupp WHERE o_orderkey % 5 = 0"""),
@@ -50,41 +55,55 @@ BRIDGE: dict[str, tuple[tuple[str, ...], str]] = {
   UNION ALL SELECT date, ticker, security_id, num, 'naver' AS source, close_adj * 0.25 AS close, volume + 1 AS volume FROM px WHERE num % 2 = 0 AND volume % 3 = 0
   UNION ALL SELECT date, ticker, security_id, num, 'pre2010' AS source, close_adj + 1 AS close, volume FROM px) u"""),
     "names": (("px",), """SELECT DISTINCT security_id, ticker, CASE WHEN num % 10 = 5 THEN 'Corp' || CAST(num - 5 AS STRING) || '우' WHEN num % 10 = 7 THEN 'Other ' || CAST(num AS STRING) WHEN num % 19 = 0 THEN 'Land' || CAST(num AS STRING) || ' 리츠'
-  WHEN num % 17 = 0 THEN 'Alpha' || CAST(num AS STRING) || '호스팩' ELSE 'Corp' || CAST(num AS STRING) END AS name FROM px"""),
+  WHEN num % 17 = 0 THEN 'Alpha' || CAST(num AS STRING) || '호스팩' WHEN num % 23 = 0 THEN 'KBSTAR ' || CAST(num AS STRING) WHEN num % 29 = 0 THEN 'TRUE ' || CAST(num AS STRING) || ' ETN' WHEN num % 31 = 0 THEN 'TIGERAIR ' || CAST(num AS STRING) ELSE 'Corp' || CAST(num AS STRING) END AS name FROM px"""),
     "capped": (("px",), """SELECT date, security_id, ticker, num, CAST(1000000 * (1 + (year(date) + num) % 2) AS BIGINT) AS listed_shares, close_adj / CAST(1 + (year(date) + num) % 2 AS DOUBLE) AS close, volume,
   CAST(NULL AS DOUBLE) AS market_cap, 'raw' AS price_basis, 'krx' AS price_source FROM px"""),
     "macro": (("axis",), "SELECT 'CPI' AS series_id, date, 100 + CAST(day_index % 37 AS DOUBLE) / 4 + CAST(day_index AS DOUBLE) / 50 AS value, day_index FROM (SELECT min(date) AS d0, year(date) AS y, month(date) AS m, min(day_index) AS day_index, CAST(date_trunc('month', min(date)) AS DATE) AS date FROM axis GROUP BY year(date), month(date)) x"),
 }
 
 
-def ctes(*names: str) -> str:
-    """'WITH a AS (...), b AS (...)' for the names and all that they rest on."""
+def ctes(*names: str, held: dict[str, str] | None = None) -> str:
+    """'WITH a AS (...), b AS (...)' for the names and all that they rest on; held names are read from views."""
     order: list[str] = []
 
     def add(name: str) -> None:
         if name not in order:
-            for other in BRIDGE[name][0]:
+            for other in () if held and name in held else BRIDGE[name][0]:
                 add(other)
             order.append(name)
 
     for name in names:
         add(name)
-    return "WITH " + ",\n".join(f"{n} AS ({BRIDGE[n][1]})" for n in order)
+    return "WITH " + ",\n".join(f"{n} AS ({f'SELECT * FROM {held[n]}' if held and n in held else BRIDGE[n][1]})" for n in order)
 
 
 class Bridge:
     """The views as DataFrames over one directory of tables."""
 
+    _kept: list[DataFrame] = []
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         for name in BASE:
             spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
         self._made: dict[str, DataFrame] = {}
+        self._held: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def hold(self, name: str) -> None:
+        """Computes a view once for all that rest on it in this query. Views held for earlier queries are let go; a result that still reads one computes it anew."""
+        for old in Bridge._kept:
+            old.unpersist()
+        df = self(name).persist(StorageLevel.MEMORY_AND_DISK)
+        Bridge._kept = [df]
+        view = f"held_{name}_{uuid.uuid4().hex[:8]}"
+        df.createOrReplaceTempView(view)
+        self._held[name] = view
+        self._made = {name: df}
+
     def __call__(self, name: str) -> DataFrame:
         if name not in self._made:
-            self._made[name] = self.spark.sql(f"{ctes(name)} SELECT * FROM {name}")
+            self._made[name] = self.spark.sql(f"{ctes(name, held=self._held)} SELECT * FROM {name}")
         return self._made[name]

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.exprs import latest
+from tessera.operators.asof import asof
 from tessera.operators.calendar import day_axis
 
 # Event type, title pattern, expected sign; the first match wins.
@@ -29,28 +30,24 @@ EVENT_PATTERNS = (
 
 
 def bare_title(title: Column) -> Column:
-    """Without leading [...] tags."""
-    return F.regexp_replace(title, r"(?U)^(\[[^\]]*\]\s*)+", "")
-
-
-def _first_match(title: Column, value) -> Column:
-    out = None
-    for kind, pattern, sign in EVENT_PATTERNS:
-        hit = title.rlike(f"(?U){pattern}")
-        out = F.when(hit, value(kind, sign)) if out is None else out.when(hit, value(kind, sign))
-    return out
+    """Without leading [...] tags, the blanks around them, and blanks at the ends."""
+    return F.regexp_replace(F.regexp_replace(title, r"(?U)^(\s*\[[^\]]*\])+", ""), r"(?U)^\s+|\s+$", "")
 
 
 def event_type(title: Column) -> Column:
-    return _first_match(title, lambda kind, _: F.lit(kind))
+    return F.coalesce(*[F.when(title.rlike(f"(?U){pattern}"), kind) for kind, pattern, _ in EVENT_PATTERNS])
 
 
-def event_sign(title: Column) -> Column:
-    return _first_match(title, lambda _, sign: F.lit(sign))
+def event_sign(kind: Column) -> Column:
+    """The expected sign of an event type; the rules of one type share it."""
+    signs = {kind: sign for kind, _, sign in EVENT_PATTERNS}
+    return F.create_map(*[F.lit(x) for pair in signs.items() for x in pair])[kind]
 
 
 def describe_event_patterns() -> list[dict]:
-    return [{"event_type": k, "pattern": p, "expected_sign": s} for k, p, s in EVENT_PATTERNS]
+    """The rules in order, each with the number of rules of its type."""
+    kinds = [k for k, _, _ in EVENT_PATTERNS]
+    return [{"event_type": k, "pattern": p, "expected_sign": s, "n_patterns": kinds.count(k)} for k, p, s in EVENT_PATTERNS]
 
 
 def filings_silver(raw: DataFrame) -> DataFrame:
@@ -63,9 +60,10 @@ def filings_silver(raw: DataFrame) -> DataFrame:
 
 def filing_events(filings: DataFrame) -> DataFrame:
     """Classified filings; a correction counts only where it is the first filing of its security and type."""
-    title = bare_title(F.col("report_nm"))
-    df = filings.where("security_id IS NOT NULL").select("*", event_type(title).alias("event_type"), event_sign(title).alias("expected_sign")).where("event_type IS NOT NULL")
-    flag = F.coalesce(F.col("is_correction"), F.lit(False)) | F.col("report_nm").rlike(r"^\[[^\]]*정정[^\]]*\]")
+    df = filings.where("security_id IS NOT NULL").withColumn("_title", bare_title(F.col("report_nm")))
+    # exploding what matched drops the rest, and evaluates the rules once, where a filter would evaluate them again
+    df = df.withColumn("event_type", F.explode(F.array_compact(F.array(event_type(F.col("_title")))))).withColumn("expected_sign", event_sign(F.col("event_type"))).drop("_title")
+    flag = F.coalesce(F.col("is_correction"), F.lit(False)) | F.coalesce(F.col("report_nm").rlike(r"\[[^\]]*정정[^\]]*\]"), F.lit(False))
     w = Window.partitionBy("security_id", "event_type").orderBy("rcept_dt", "rcept_no")
     df = df.withColumn("is_correction", flag).withColumn("_order", F.row_number().over(w)).where("NOT is_correction OR _order = 1")
     return df.select(F.col("rcept_dt").alias("event_date"), "available_date", "security_id", F.col("stock_code").alias("ticker"), "event_type", "expected_sign", "rcept_no", "report_nm", "is_correction")
@@ -74,8 +72,10 @@ def filing_events(filings: DataFrame) -> DataFrame:
 def study_windows(events: DataFrame, axis: DataFrame, pre: int, post: int) -> DataFrame:
     """One row per event and relative day; day 0 is the first trading day strictly after availability."""
     once = events.select("security_id", "available_date").distinct()
-    dates = once.select("available_date").distinct()
-    zero = dates.join(F.broadcast(axis), F.col("date") > F.col("available_date")).groupBy("available_date").agg(F.min("day_index").alias("day0"))
+    dates = once.select("available_date").where("available_date IS NOT NULL").distinct()
+    # the next trading day of each date: one ordered pass over dates, a row per day
+    zero = asof(dates, axis, [], "available_date", "date", ["day_index"], allow_equal=False, forward=True).where("day_index IS NOT NULL")
+    zero = zero.select("available_date", F.col("day_index").alias("day0"))
     spread = once.join(F.broadcast(zero), "available_date").withColumn("rel_day", F.explode(F.sequence(F.lit(-pre), F.lit(post))))
     return spread.withColumn("day_index", F.col("day0") + F.col("rel_day")).join(F.broadcast(axis), "day_index")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.exprs import latest
+from tessera.functions.exprs import latest, zfill
 
 ANNUAL = ("11011", "annual")
 SOURCE_GRAIN = ("corp_code", "fiscal_period_end", "report_type", "account_id", "statement_division", "is_consolidated", "account_detail", "sort_order", "rcept_no")
@@ -36,8 +36,9 @@ def pit_intervals(financials: DataFrame, snapshots: DataFrame) -> DataFrame:
     """The same rows from validity intervals.
 
     Per security, scope and account, a running maximum in order of availability gives the best statement so far: a late
-    correction of an older period doesn't replace a newer one. Each stretch of availability becomes one interval, and a
-    snapshot joins the one interval it lies in, so nothing is expanded and then thrown away.
+    correction of an older period doesn't replace a newer one. Each stretch of availability becomes one interval. Snapshot days
+    are numbered, an interval's ends are looked up as numbers, and it is spread over the days in between: as many rows as the
+    result has, joined by equality only.
     """
     f = financials.where("security_id IS NOT NULL AND available_date IS NOT NULL").withColumn("period_scope", _scope())
     keys = ["security_id", "period_scope", "account_id"]
@@ -47,11 +48,20 @@ def pit_intervals(financials: DataFrame, snapshots: DataFrame) -> DataFrame:
     running = f.select(*keys, F.col("available_date").alias("_from"), F.max(best).over(w).alias("_best")).dropDuplicates([*keys, "_from"])
     until = F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from"))
     spans = running.select(*keys, "_from", until.alias("_until"), "_best.*")
-    inside = (F.col("_from") < F.col("as_of_date")) & (F.col("_until").isNull() | (F.col("as_of_date") <= F.col("_until")))
-    if "security_id" in snapshots.columns:
-        s = snapshots.withColumnRenamed("security_id", "_sid")
-        return spans.join(s, inside & (F.col("security_id") == F.col("_sid"))).drop("_sid", "_from", "_until")
-    return spans.join(F.broadcast(snapshots), inside).drop("_from", "_until")
+    days = snapshots.select("as_of_date").where("as_of_date IS NOT NULL").distinct().withColumn("_day", F.row_number().over(Window.orderBy("as_of_date")))
+    # for every calendar date, how many snapshot days lie at or before it: a few thousand rows
+    range_of = days.agg(F.min("as_of_date").alias("a"), F.max("as_of_date").alias("z")).where("a IS NOT NULL")
+    dates = range_of.select(F.explode(F.sequence("a", "z")).alias("_date"))
+    number = F.last("_day", ignorenulls=True).over(Window.orderBy("_date").rowsBetween(Window.unboundedPreceding, 0))
+    dates = dates.join(days, F.col("_date") == F.col("as_of_date"), "left").select("_date", number.alias("_number"))
+    ends = days.agg(F.min("as_of_date").alias("_first"), F.max("as_of_date").alias("_last"), F.max("_day").alias("_days"))
+    look = lambda c, name: dates.select(F.col("_date").alias(c), F.col("_number").alias(name))
+    spans = spans.join(F.broadcast(look("_from", "_lo")), "_from", "left").join(F.broadcast(look("_until", "_hi")), "_until", "left").crossJoin(F.broadcast(ends))
+    low = F.when(F.col("_from") < F.col("_first"), 0).otherwise(F.coalesce("_lo", "_days"))
+    high = F.when(F.col("_until") < F.col("_first"), 0).otherwise(F.coalesce("_hi", "_days"))
+    spread = spans.withColumn("_lo", low).withColumn("_hi", high).where("_hi > _lo").withColumn("_day", F.explode(F.sequence(F.col("_lo") + 1, F.col("_hi"))))
+    out = spread.join(F.broadcast(days), "_day").drop("_from", "_until", "_lo", "_hi", "_day", "_first", "_last", "_days")
+    return out.join(snapshots.select("security_id", "as_of_date").distinct(), ["security_id", "as_of_date"], "left_semi") if "security_id" in snapshots.columns else out
 
 
 def normalize_account_id(account: Column) -> Column:
@@ -60,6 +70,30 @@ def normalize_account_id(account: Column) -> Column:
     return F.when((a != "") & ~a.startswith("-"), a)
 
 
+# Account names of filings without standard ids.
+NAMED_ACCOUNTS = {
+    "자산총계": "ifrs-full_Assets", "부채총계": "ifrs-full_Liabilities", "자본총계": "ifrs-full_Equity",
+    "기본주당이익(손실)": "ifrs-full_BasicEarningsLossPerShare", "기본주당손익": "ifrs-full_BasicEarningsLossPerShare",
+}
+
+
+def account_of_name(name: Column) -> Column:
+    """The account id that a Korean account name stands for, NULL for other names; blanks and the unit at the end don't count."""
+    bare = F.regexp_replace(F.regexp_replace(name, r"(?U)\s+", ""), r"\(단위[:：]?원\)$", "")
+    return F.create_map(*[F.lit(x) for pair in NAMED_ACCOUNTS.items() for x in pair])[bare]
+
+
+def statement_requests(filings: DataFrame, report: Column, reports: tuple[str, ...], since: str, until: str) -> DataFrame:
+    """(corp_code, stock_code, bsns_year, report_code, available_date): statements to ask for, once each, from their first filing.
+
+    report: a struct of bsns_year and report_code, NULL for filings that are no statement.
+    """
+    day = F.col("rcept_dt").between(F.to_date(F.lit(since)), F.to_date(F.lit(until)))
+    f = filings.where(day & F.col("stock_code").isNotNull()).select("corp_code", zfill(F.trim("stock_code"), 6).alias("stock_code"), report.alias("_r"), F.col("rcept_dt").alias("available_date"))
+    f = f.select("corp_code", "stock_code", "_r.bsns_year", "_r.report_code", "available_date").where(F.col("report_code").isin(*reports))
+    return f.groupBy("corp_code", "bsns_year", "report_code").agg(F.min_by("stock_code", F.struct("available_date", "stock_code")).alias("stock_code"), F.min("available_date").alias("available_date"))
+
+
 def drop_shadowed(legacy: DataFrame, refreshed: DataFrame, grain: tuple[str, ...]) -> DataFrame:
     """Legacy rows whose grain has refreshed rows go."""
     keys = refreshed.select(*grain).distinct()
@@ -70,11 +104,12 @@ def financials_silver(raw: DataFrame, companies: DataFrame | None = None) -> Dat
     """Maps corporations to securities, casts without raising, normalises accounts, keeps the newest row per source grain."""
     df = raw
     if companies is not None:
-        c = companies.where(F.col("stock_code").rlike("^[0-9A-Z]{6}$")).select("corp_code", F.concat(F.lit("S"), "stock_code").alias("_mapped")).dropDuplicates(["corp_code"])
-        df = df.join(F.broadcast(c), "corp_code", "left")
+        c = companies.where(F.col("stock_code").rlike("^[0-9A-Z]{6}$")).select("corp_code", F.concat(F.lit("S"), "stock_code").alias("_mapped"))
+        df = df.join(latest(c, ["corp_code"], F.col("_mapped")), "corp_code", "left")
         own = F.col("security_id") if "security_id" in raw.columns else F.lit(None).cast("string")
         df = df.withColumn("security_id", F.coalesce(own, "_mapped")).drop("_mapped")
-    df = df.withColumn("account_id", F.coalesce(normalize_account_id(F.col("account_id")), F.col("account_id"))).withColumn("amount", F.col("amount").try_cast("double")).withColumn("fiscal_year", F.year("fiscal_period_end"))
+    named = account_of_name(F.col("account_name")) if "account_name" in df.columns else F.lit(None).cast("string")
+    df = df.withColumn("account_id", F.coalesce(named, normalize_account_id(F.col("account_id")), F.col("account_id"))).withColumn("amount", F.col("amount").try_cast("double")).withColumn("fiscal_year", F.year("fiscal_period_end"))
     grain = [c for c in SOURCE_GRAIN if c in df.columns]
     others = [F.col(c).desc_nulls_last() for c in df.columns if c not in grain]
     return latest(df, grain, *([F.col("available_date").desc_nulls_last()] if "available_date" in df.columns else []), *others)

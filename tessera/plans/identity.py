@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.functions.exprs import latest
 from tessera.operators.calendar import day_axis, ticker_reuse
 
 DELISTING_BUFFER_DAYS = 10
@@ -17,9 +18,14 @@ def is_preferred(ticker: Column, name: Column) -> Column:
     return F.coalesce(ticker.substr(-1, 1).isin("5", "7", "9"), F.lit(False)) | F.coalesce(name.rlike(PREFERRED_NAME), F.lit(False))
 
 
+# What names of listed products hold, and the brands with which fund names begin; the first match wins.
+PRODUCT_NAMES = (("spac_pre", "스팩|SPAC"), ("etn", "ETN"), ("reit", "리츠|REIT"))
+FUND_BRANDS = ("KODEX", "TIGER", "ACE", "RISE", "HANARO", "SOL", "PLUS", "KOSEF", "ARIRANG", "WON", "TIMEFOLIO", "KBSTAR", "KINDEX")
+
+
 def security_type(name: Column) -> Column:
-    n = F.coalesce(name, F.lit(""))
-    return F.when(n.contains("스팩") | n.rlike("(?i)spac"), "spac").when(n.contains("리츠") | n.rlike("(?i)reit"), "reit").when(n.rlike("(?i)ETF|KODEX|TIGER"), "etf").otherwise("equity")
+    rules = [*PRODUCT_NAMES, ("etf", rf"^({'|'.join(FUND_BRANDS)})\s")]
+    return F.coalesce(*[F.when(name.rlike(pattern), kind) for kind, pattern in rules], F.lit("equity"))
 
 
 def delisting_cutoff(prices: DataFrame, buffer: int = DELISTING_BUFFER_DAYS) -> DataFrame:
@@ -30,20 +36,28 @@ def delisting_cutoff(prices: DataFrame, buffer: int = DELISTING_BUFFER_DAYS) ->
 
 
 def security_master(prices: DataFrame, companies: DataFrame | None = None) -> DataFrame:
-    """One row per ticker: last known name and market, first and last day, kind, and the day it vanished."""
+    """One row per ticker: last known name and market, first and last day, kind, and the day it vanished.
+
+    Identity columns that no source fills (isin, delisting_reason) are there for those who merge them in. last_seen is what
+    merge_master needs to tell a return from a delisting.
+    """
     last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("date")))
     g = prices.groupBy("ticker").agg(last("name").alias("name"), last("market").alias("market"), F.min("date").alias("listed_date"), F.max("date").alias("last_seen"))
     g = g.join(F.broadcast(delisting_cutoff(prices)))
     if companies is not None:
         snap = companies.agg(F.max("snapshot_dt").alias("snapshot_dt"))
-        c = companies.join(F.broadcast(snap), "snapshot_dt", "left_semi").select(F.col("stock_code").alias("ticker"), "corp_code").dropDuplicates(["ticker"])
-        g = g.join(F.broadcast(c), "ticker", "left")
+        c = companies.join(F.broadcast(snap), "snapshot_dt", "left_semi")
+        corp_name = F.col("corp_name") if "corp_name" in companies.columns else F.lit(None).cast("string")
+        c = latest(c.select(F.col("stock_code").alias("ticker"), "corp_code", corp_name.alias("corp_name")), ["ticker"], F.col("corp_code").asc_nulls_last(), F.col("corp_name").asc_nulls_last())
+        g = g.join(c, "ticker", "left")
     else:
-        g = g.withColumn("corp_code", F.lit(None).cast("string"))
+        g = g.withColumn("corp_code", F.lit(None).cast("string")).withColumn("corp_name", F.lit(None).cast("string"))
     return g.select(
-        F.concat(F.lit("S"), "ticker").alias("security_id"), F.concat(F.lit("L"), "ticker").alias("listing_id"), F.concat(F.lit("I"), F.coalesce("corp_code", "ticker")).alias("issuer_id"), "ticker", "name", "market",
+        F.concat(F.lit("I"), F.coalesce("corp_code", "ticker")).alias("issuer_id"), F.concat(F.lit("S"), "ticker").alias("security_id"), F.concat(F.lit("L"), "ticker").alias("listing_id"),
+        "corp_code", "corp_name", F.lit(None).cast("string").alias("isin"), "ticker", "name", "market",
         F.when(is_preferred(F.col("ticker"), F.col("name")), "preferred").otherwise("common").alias("share_class"), security_type(F.col("name")).alias("security_type"), "listed_date",
         F.when(F.col("last_seen") < F.col("cutoff"), F.col("last_seen")).alias("delisted_date"),
+        F.lit("unknown").alias("delisting_reason"), "last_seen",
     )
 
 
@@ -85,7 +99,23 @@ def universe_history(prices: DataFrame, master: DataFrame) -> DataFrame:
     m = master.select("ticker", "share_class", "security_type", "delisted_date", F.col("name").alias("_name"))
     j = prices.join(m, "ticker")
     active = F.col("delisted_date").isNull() | (F.col("date") <= F.col("delisted_date"))
-    return j.select("date", "security_id", "ticker", active.alias("is_active"), "share_class", "security_type", (F.col("security_type") == "spac").alias("is_spac_pre"))
+    return j.select("date", "security_id", "ticker", active.alias("is_active"), "share_class", "security_type", (F.col("security_type") == "spac_pre").alias("is_spac_pre"))
+
+
+def preferred_by_name(securities: DataFrame) -> DataFrame:
+    """(corp_code, security_id, ticker): the preferred share of each corporation that has none by code: the only one among
+    preferred shares without a code whose name begins with the common share's name.
+
+    Names meet on their first character and are then compared, so no pair without a common beginning is made.
+    """
+    s = securities.where("name IS NOT NULL AND name <> '' AND security_id IS NOT NULL AND ticker IS NOT NULL")
+    direct = s.where("corp_code IS NOT NULL")
+    known = direct.where("share_class = 'preferred'").select("corp_code")
+    common = direct.where("share_class = 'common'").join(known, "corp_code", "left_anti").select("corp_code", F.col("name").alias("_name"), F.substring("name", 1, 1).alias("_first"))
+    free = s.where("corp_code IS NULL AND share_class = 'preferred'").select("security_id", "ticker", "name", F.substring("name", 1, 1).alias("_first"))
+    both = common.join(free, "_first").where(F.startswith("name", "_name"))
+    one = both.groupBy("corp_code").agg(F.count("*").alias("n"), F.min(F.struct("security_id", "ticker")).alias("s")).where("n = 1")
+    return one.select("corp_code", "s.security_id", "s.ticker")
 
 
 def resolve_listing(listings: DataFrame, ticker: str, on: str):

@@ -55,7 +55,10 @@ def build_identity(lake: Lake) -> None:
 def build_actions(lake: Lake) -> None:
     filings = lake.read("bronze.dart_filings_raw")
     actions = P.corroborate(P.share_jumps(lake.read("silver.prices")), filings)
-    _put(lake, actions.withColumnsRenamed({"factor": "adjustment_factor", "action_source": "source", "rcept_no": "source_rcept_no"}), "silver.corporate_actions", "effective_date")
+    detected = actions.withColumnsRenamed({"factor": "adjustment_factor", "action_source": "source"})
+    detected = _shape(detected, "silver.corporate_actions")
+    stored = _shape(lake.read("silver.corporate_actions"), "silver.corporate_actions")
+    _put(lake, P.merge_actions(stored, detected), "silver.corporate_actions", "effective_date")
 
 
 def build_adjusted(lake: Lake) -> None:
@@ -78,7 +81,7 @@ def build_holdings(lake: Lake) -> None:
 
 
 def build_filings(lake: Lake) -> None:
-    raw = lake.read("bronze.dart_filings_raw").withColumn("available_date", F.date_add("rcept_dt", 1))
+    raw = lake.read("bronze.dart_filings_raw").withColumn("available_date", F.col("rcept_dt"))  # users compare strictly
     _put(lake, FI.filings_silver(raw), "silver.filings", "rcept_dt")
     _put(lake, FI.filing_events(lake.read("silver.filings")), "gold.filing_events", "event_date")
 

@@ -16,6 +16,8 @@ PRIORITY = {"krx": 0, "kis": 1, "naver": 2, "pre2010": 3}
 BASIS = {"naver": "adjusted", "pre2010": "unknown"}
 JUMP_MIN, JUMP_MAX, CROSS_TOLERANCE, CAP_TOLERANCE = 1.5, 100.0, 0.35, 0.25
 FILING_BEFORE_DAYS, FILING_AFTER_DAYS = 120, 14
+# Titles of filings about splits, merges and capital reductions.
+SPLIT_TITLE, MERGE_TITLE, CUT_TITLE = "주식분할|액면분할", "주식병합|액면병합|감자", "감자"
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -65,7 +67,9 @@ def dedup_candidates(candidates: DataFrame, source: str = "source", strategy: st
     anchor = F.when((F.col("_n") == 1) & (F.col("close") > 0), F.col("close"))
     line = Window.partitionBy("ticker").orderBy("date")
     c = c.withColumn("_before", F.last(anchor, ignorenulls=True).over(line.rowsBetween(Window.unboundedPreceding, -1)))
-    c = c.withColumn("_after", F.first(anchor, ignorenulls=True).over(line.rowsBetween(1, Window.unboundedFollowing)))
+    # the next anchor is the last one of the reversed order: a growing frame is extended row by row, a shrinking one computed anew
+    back = Window.partitionBy("ticker").orderBy(F.col("date").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    c = c.withColumn("_after", F.last(anchor, ignorenulls=True).over(back))
     gap = lambda a: F.when((F.col("close") > 0) & F.col(a).isNotNull(), F.abs(F.log(F.col("close") / F.col(a))))
     c = c.withColumn("_b", gap("_before")).withColumn("_a", gap("_after"))
     anchors = F.col("_b").isNotNull().cast("int") + F.col("_a").isNotNull().cast("int")
@@ -104,14 +108,23 @@ def share_jumps(prices: DataFrame) -> DataFrame:
 
 
 def corroborate(actions: DataFrame, filings: DataFrame) -> DataFrame:
-    """Actions with a fitting filing from 120 days before to 14 days after become high in confidence; the nearest filing counts."""
+    """Actions with a fitting filing from 120 days before to 14 days after become high in confidence; the nearest filing counts
+    (of equally near ones the lowest receipt number) and names the action."""
     title = F.col("report_nm")
-    f = filings.select(F.col("stock_code").alias("ticker"), F.col("rcept_dt").alias("_filed"), "rcept_no", F.when(title.rlike(r"(?U)주식\s*분할|무상증자"), "split").when(title.rlike(r"(?U)주식\s*병합|감자"), "merge").alias("_kind"), title.rlike(r"(?U)무상증자").alias("_bonus"))
-    f = f.where("_kind IS NOT NULL")
-    j = actions.join(f.withColumnRenamed("ticker", "_t"), on=(actions.ticker == F.col("_t")) & (actions.action_type == F.col("_kind")) & F.col("_filed").between(F.date_sub(actions.effective_date, FILING_BEFORE_DAYS), F.date_add(actions.effective_date, FILING_AFTER_DAYS)), how="left")
-    j = latest(j, ["security_id", "effective_date", "action_type"], F.abs(F.datediff("effective_date", "_filed")).asc_nulls_last(), F.col("rcept_no").asc_nulls_last())
-    hit = F.col("_filed").isNotNull()
-    return j.withColumn("confidence", F.when(hit, "high").otherwise(F.col("confidence"))).withColumn("action_type", F.when(hit & F.col("_bonus"), "bonus_issue").otherwise(F.col("action_type"))).drop("_t", "_filed", "_kind", "_bonus")
+    split, merge, cut = (F.coalesce(title.rlike(p), F.lit(False)) for p in (SPLIT_TITLE, MERGE_TITLE, CUT_TITLE))
+    named = F.when(cut, "capital_reduction").when(split, "split").otherwise("merge")
+    f = filings.where(split | merge).where("stock_code IS NOT NULL AND rcept_dt IS NOT NULL")
+    # a title may speak of both; it is then there for either kind of action
+    kinds = F.explode(F.filter(F.array(F.when(split, "split"), F.when(merge, "merge")), lambda k: k.isNotNull()))
+    f = f.select(zfill(F.trim("stock_code"), 6).alias("_t"), F.col("rcept_dt").alias("_filed"), F.col("rcept_no").alias("_no"), named.alias("_named"), kinds.alias("_kind"))
+    own = actions if "source_rcept_no" in actions.columns else actions.withColumn("source_rcept_no", F.lit(None).cast("string"))
+    kind = F.when(F.col("action_type") == "split", "split").otherwise("merge")
+    within = F.col("_filed").between(F.date_sub("effective_date", FILING_BEFORE_DAYS), F.date_add("effective_date", FILING_AFTER_DAYS))
+    j = own.join(f, (F.col("ticker") == F.col("_t")) & (kind == F.col("_kind")) & within, "left")
+    j = latest(j, ["security_id", "effective_date", "action_type"], F.abs(F.datediff("effective_date", "_filed")).asc_nulls_last(), F.col("_no").asc_nulls_last())
+    j = j.withColumn("confidence", F.when(F.col("_no").isNotNull(), "high").otherwise(F.col("confidence")))
+    j = j.withColumns({"action_type": F.coalesce("_named", "action_type"), "source_rcept_no": F.coalesce("_no", "source_rcept_no")})
+    return j.drop("_t", "_filed", "_no", "_named", "_kind")
 
 
 def adjusted_prices(prices: DataFrame, actions: DataFrame) -> DataFrame:
@@ -136,6 +149,32 @@ def adjusted_prices(prices: DataFrame, actions: DataFrame) -> DataFrame:
     return out.withColumn("return_1d", F.when(traded, F.try_divide(F.col("_c"), F.lag("_c").over(w)) - 1)).drop("_c")
 
 
+def merge_actions(stored: DataFrame, detected: DataFrame) -> DataFrame:
+    """Stored actions of other sources stay and win over a detected one of the same security and day; detected ones are those found now."""
+    kept = stored.where(F.col("source").isNull() | (F.col("source") != "shares_jump"))
+    return kept.unionByName(detected.join(kept.select("effective_date", "security_id"), ["effective_date", "security_id"], "left_anti"), allowMissingColumns=True)
+
+
+def stale_securities(actions: DataFrame, applied: DataFrame) -> DataFrame:
+    """Securities whose events (day and factor) differ between the actions now and those a stored history was adjusted with."""
+    event = lambda df: df.select("security_id", "effective_date", F.round("factor", 9).alias("factor"))
+    now, then = event(actions), event(applied)
+    return now.subtract(then).unionByName(then.subtract(now)).select("security_id").distinct()
+
+
+def update_adjusted(stored: DataFrame, prices: DataFrame, actions: DataFrame, applied: DataFrame) -> DataFrame:
+    """The adjusted history after new prices or actions: equal to adjusted_prices of all, but only stale securities are redone.
+
+    Other securities get rows for days that aren't stored, from their last stored close on. stored: what adjusted_prices gave.
+    """
+    stale = stale_securities(actions, applied)
+    last = stored.where("close_adj IS NOT NULL").groupBy("security_id").agg(F.max("date").alias("_last"))
+    redone = adjusted_prices(prices.join(stale, "security_id", "left_semi"), actions)
+    tail = prices.join(stale, "security_id", "left_anti").join(last, "security_id", "left").where("_last IS NULL OR date >= _last").drop("_last")
+    added = adjusted_prices(tail, actions).join(stored.select("security_id", "date"), ["security_id", "date"], "left_anti")
+    return union_by_name(stored.join(stale, "security_id", "left_anti"), redone, added)
+
+
 def daily_market_caps(existing: DataFrame | None, caps: DataFrame, prices: DataFrame) -> DataFrame:
     """Caps of the cap source and of prices; one row per (date, ticker), first by source name; dates already held are left out."""
     own = prices.where("market_cap IS NOT NULL").select("date", "ticker", "market_cap", F.col("price_source").alias("market_cap_source"))

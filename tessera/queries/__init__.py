@@ -27,5 +27,5 @@ def query(name: str, *needs: str, sql: str | None = None):
     return add
 
 
-for module in ("core", "medallion", "serving", "quality"):
+for module in ("core", "medallion", "serving", "quality", "upkeep"):
     import_module(f"tessera.queries.{module}")

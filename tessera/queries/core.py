@@ -14,16 +14,16 @@ from tessera.queries import query
 
 R6 = lambda c: F.round(c, 6)
 DIV_SQL = "(SELECT * FROM divs QUALIFY row_number() OVER (PARTITION BY security_id, available_date ORDER BY fiscal_period_end DESC, cash_dividend_per_share DESC) = 1)"
-#: Month ends keep fundamentals queries at one row per month, security and account: the reference's own rebalance grid.
+#: Every trading day sees the best statement available strictly before it; filtered to the accounts that a query reads.
 PIT_SQL = """, pit AS (
-  SELECT m.date AS as_of_date, f.security_id, f.account_id, f.amount, f.report_type FROM month_axis m JOIN fin f ON f.available_date < m.date
+  SELECT m.date AS as_of_date, f.security_id, f.account_id, f.amount, f.report_type FROM axis m JOIN fin f ON f.available_date < m.date WHERE {0}
   QUALIFY row_number() OVER (PARTITION BY m.date, f.security_id, f.report_type = '11011', f.account_id ORDER BY f.fiscal_period_end DESC, f.report_type DESC, f.available_date DESC, f.is_consolidated DESC, f.rcept_no DESC) = 1)"""
 
 
 def _pit(b) -> DataFrame:
     from tessera.plans.fundamentals import pit_intervals
 
-    return pit_intervals(b("fin"), b("month_axis").withColumnRenamed("date", "as_of_date"))
+    return pit_intervals(b("fin"), b("axis").select(F.col("date").alias("as_of_date")))
 
 
 def _tables(b) -> dict[str, DataFrame]:
@@ -39,7 +39,7 @@ def _tables(b) -> dict[str, DataFrame]:
                 "silver.dividends": lambda: b("divs"),
                 "gold.nps_holdings_delta": lambda: holdings_delta(b("nps").withColumn("listing_id", F.lit(None).cast("string"))),
                 "gold.filing_events": lambda: filing_events(b("filings")),
-                "gold.preferred_discount": lambda: preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), _pairs(b), 60, 20),
+                "gold.preferred_discount": lambda: preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), _pairs(b)),
             }[key]()
             return self[key]
 
@@ -67,15 +67,15 @@ _factor("lowvol_252", "px_dense", sql=f"SELECT date, security_id, round(CASE WHE
 
 
 def _ratio(account: str) -> str:
-    return PIT_SQL + f" SELECT p.as_of_date AS date, p.security_id, round(p.amount / x.market_cap, 6) AS score FROM pit p JOIN px_dense x ON x.date = p.as_of_date AND x.security_id = p.security_id WHERE p.account_id = '{account}' AND p.report_type = '11011' AND x.market_cap > 0"
+    return PIT_SQL.format(f"account_id = '{account}' AND report_type = '11011'") + f" SELECT p.as_of_date AS date, p.security_id, round(p.amount / x.market_cap, 6) AS score FROM pit p JOIN px_dense x ON x.date = p.as_of_date AND x.security_id = p.security_id WHERE p.account_id = '{account}' AND p.report_type = '11011' AND x.market_cap > 0"
 
 
-_factor("value_earnings_yield", "month_axis", "fin", "px_dense", sql=_ratio("ifrs-full_ProfitLoss"))
-_factor("value_book_to_price", "month_axis", "fin", "px_dense", sql=_ratio("ifrs-full_Equity"))
-_PIVOT = PIT_SQL + ", wide AS (SELECT as_of_date AS date, security_id, max(CASE WHEN account_id = 'ifrs-full_ProfitLoss' THEN amount END) AS income, max(CASE WHEN account_id = 'ifrs-full_Assets' THEN amount END) AS assets, max(CASE WHEN account_id = 'ifrs-full_Revenue' THEN amount END) AS revenue FROM pit WHERE report_type = '11011' AND account_id IN ({}) GROUP BY ALL)"
-_factor("quality_roa", "month_axis", "fin", sql=_PIVOT.format("'ifrs-full_ProfitLoss', 'ifrs-full_Assets'") + " SELECT date, security_id, round(income / assets, 6) AS score FROM wide")
-_factor("quality_gpa", "month_axis", "fin", sql=_PIVOT.format("'ifrs-full_Revenue', 'ifrs-full_Assets'") + " SELECT date, security_id, CAST(NULL AS DOUBLE) AS score FROM wide")
-_factor("quality_accruals", "month_axis", "fin", sql=_PIVOT.format("'ifrs-full_ProfitLoss', 'ifrs-full_Assets'") + " SELECT date, security_id, CAST(NULL AS DOUBLE) AS score FROM wide")
+_factor("value_earnings_yield", "axis", "fin", "px_dense", sql=_ratio("ifrs-full_ProfitLoss"))
+_factor("value_book_to_price", "axis", "fin", "px_dense", sql=_ratio("ifrs-full_Equity"))
+_PIVOT = PIT_SQL.replace("{0}", "account_id IN ({0}) AND report_type = '11011'") + ", wide AS (SELECT as_of_date AS date, security_id, max(CASE WHEN account_id = 'ifrs-full_ProfitLoss' THEN amount END) AS income, max(CASE WHEN account_id = 'ifrs-full_Assets' THEN amount END) AS assets, max(CASE WHEN account_id = 'ifrs-full_Revenue' THEN amount END) AS revenue FROM pit WHERE report_type = '11011' AND account_id IN ({0}) GROUP BY ALL)"
+_factor("quality_roa", "axis", "fin", sql=_PIVOT.format("'ifrs-full_ProfitLoss', 'ifrs-full_Assets'") + " SELECT date, security_id, round(income / assets, 6) AS score FROM wide")
+_factor("quality_gpa", "axis", "fin", sql=_PIVOT.format("'ifrs-full_Revenue', 'ifrs-full_Assets'") + " SELECT date, security_id, CAST(NULL AS DOUBLE) AS score FROM wide")
+_factor("quality_accruals", "axis", "fin", sql=_PIVOT.format("'ifrs-full_ProfitLoss', 'ifrs-full_Assets'") + " SELECT date, security_id, CAST(NULL AS DOUBLE) AS score FROM wide")
 _factor("value_dividend_yield", "divs", "px_dense", sql=f", d AS (SELECT security_id, CAST(available_date + INTERVAL 1 DAY AS DATE) AS eff, cash_dividend_per_share AS dps FROM {DIV_SQL}) SELECT x.date, x.security_id, round(CASE WHEN x.date - d.eff <= 430 THEN d.dps * x.listed_shares / x.market_cap END, 6) AS score FROM px_dense x ASOF LEFT JOIN d ON d.security_id = x.security_id AND d.eff <= x.date")
 DELTA_SQL = """, snaps AS (SELECT date, lag(date) OVER (ORDER BY date) AS prev FROM (SELECT DISTINCT date FROM nps)),
   cur AS (SELECT s.date, s.prev, n.security_id, n.ownership_pct FROM snaps s JOIN nps n USING (date) WHERE s.prev IS NOT NULL),
@@ -83,7 +83,7 @@ DELTA_SQL = """, snaps AS (SELECT date, lag(date) OVER (ORDER BY date) AS prev F
   delta AS (SELECT coalesce(c.date, o.date) AS date, coalesce(c.prev, o.prev) AS previous_date, coalesce(c.security_id, o.security_id) AS security_id, coalesce(c.ownership_pct, 0) - coalesce(o.ownership_pct, 0) AS delta_ratio,
     o.security_id IS NULL AS entered, c.security_id IS NULL AS exited FROM cur c FULL JOIN old o ON c.date = o.date AND c.security_id = o.security_id)"""
 _factor("nps_flow", "nps", "px_dense", sql=DELTA_SQL + ", d AS (SELECT security_id, CAST(date + INTERVAL 8 DAY AS DATE) AS eff, delta_ratio FROM delta) SELECT x.date, x.security_id, round(CASE WHEN x.date - d.eff <= 370 THEN d.delta_ratio END, 6) AS score FROM px_dense x ASOF LEFT JOIN d ON d.security_id = x.security_id AND d.eff <= x.date")
-EVENTS_SQL = r""", ev0 AS (SELECT *, regexp_replace(report_nm, '^(\[[^\]]*\]\s*)+', '') AS bare, is_correction OR regexp_matches(report_nm, '^\[[^\]]*정정[^\]]*\]') AS corr FROM filings),
+EVENTS_SQL = r""", ev0 AS (SELECT *, trim(regexp_replace(report_nm, '^(?:\s*\[[^\]]*\]\s*)+', '')) AS bare, is_correction OR regexp_matches(report_nm, '\[[^\]]*정정[^\]]*\]') AS corr FROM filings),
   ev1 AS (SELECT *, CASE WHEN regexp_matches(bare, '자기주식\s*처분') THEN 'buyback_disposal' WHEN regexp_matches(bare, '자기주식\s*취득\s*결정') THEN 'buyback' WHEN regexp_matches(bare, '자기주식\s*취득\s*신탁계약\s*체결') THEN 'buyback'
     WHEN regexp_matches(bare, '유상증자\s*결정') THEN 'rights_issue' WHEN regexp_matches(bare, '무상증자\s*결정') THEN 'bonus_issue' WHEN regexp_matches(bare, '(전환사채|신주인수권부사채|교환사채).{0,8}발행\s*결정') THEN 'convertible_bond'
     WHEN regexp_matches(bare, '감자\s*결정') THEN 'capital_reduction' WHEN regexp_matches(bare, '주식\s*분할\s*결정') THEN 'stock_split' WHEN regexp_matches(bare, '주식\s*병합\s*결정') THEN 'stock_merge' WHEN regexp_matches(bare, '(합병|분할)\s*결정') THEN 'merger'
@@ -94,28 +94,28 @@ _factor("event_buyback", "filings", "px_dense", sql=EVENTS_SQL + ", d AS (SELECT
 DISCOUNT_SQL = """, pairs AS (SELECT p.security_id AS pref, c.security_id AS com FROM names p JOIN names c ON substr(p.ticker, 1, 5) = substr(c.ticker, 1, 5) WHERE substr(c.ticker, 6, 1) = '0' AND regexp_matches(p.ticker, '^[0-9]{5}[1-9A-Z]$')
     AND regexp_matches(p.name, '([0-9]+)?우[A-Z]?$|우선')),
   disc AS (SELECT a.date, pref, com, 1 - a.close_adj / b.close_adj AS discount FROM pairs JOIN px a ON a.security_id = pref JOIN px b ON b.security_id = com AND b.date = a.date),
-  stat AS (SELECT *, count(*) OVER w AS n, avg(discount) OVER w AS mu, stddev_samp(discount) OVER w AS sd FROM disc WINDOW w AS (PARTITION BY pref, com ORDER BY date ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)),
-  pd AS (SELECT date, pref AS preferred_security_id, com AS common_security_id, discount, CASE WHEN n >= 20 THEN mu END AS discount_mean, CASE WHEN n >= 20 THEN sd END AS discount_std, CASE WHEN n >= 20 AND sd > 0 THEN (discount - mu) / sd END AS discount_z FROM stat)"""
+  stat AS (SELECT *, count(*) OVER w AS n, avg(discount) OVER w AS mu, stddev_samp(discount) OVER w AS sd FROM disc WINDOW w AS (PARTITION BY pref, com ORDER BY date ROWS BETWEEN 251 PRECEDING AND CURRENT ROW)),
+  pd AS (SELECT date, pref AS preferred_security_id, com AS common_security_id, discount, CASE WHEN n >= 120 THEN mu END AS discount_mean, CASE WHEN n >= 120 THEN sd END AS discount_std, CASE WHEN n >= 120 AND sd > 0 THEN (discount - mu) / sd END AS discount_z FROM stat)"""
 _factor("preferred_discount_z", "names", "px", sql=DISCOUNT_SQL + " SELECT date, preferred_security_id AS security_id, round(discount_z, 6) AS score FROM pd")
-_factor("composite_value_quality", "month_axis", "fin", "px_dense", sql=PIT_SQL + """, r AS (
+_factor("composite_value_quality", "axis", "fin", "px_dense", sql=PIT_SQL.format("account_id IN ('ifrs-full_ProfitLoss', 'ifrs-full_Equity', 'ifrs-full_Assets') AND report_type = '11011'") + """, r AS (
   SELECT p.as_of_date AS date, p.security_id, p.account_id AS c, p.amount / x.market_cap AS v FROM pit p JOIN px_dense x ON x.date = p.as_of_date AND x.security_id = p.security_id WHERE p.report_type = '11011' AND p.account_id IN ('ifrs-full_ProfitLoss', 'ifrs-full_Equity')
   UNION ALL SELECT as_of_date, security_id, 'roa', max(CASE WHEN account_id = 'ifrs-full_ProfitLoss' THEN amount END) / max(CASE WHEN account_id = 'ifrs-full_Assets' THEN amount END) FROM pit WHERE report_type = '11011' GROUP BY as_of_date, security_id),
   z AS (SELECT date, security_id, (v - avg(v) OVER w) / nullif(stddev_samp(v) OVER w, 0) AS z FROM r WHERE v IS NOT NULL WINDOW w AS (PARTITION BY date, c))
   SELECT date, security_id, round(avg(z), 6) AS score FROM z WHERE z IS NOT NULL GROUP BY date, security_id""")
 
-_MOM = f", s0 AS (SELECT date, security_id, close_adj / lag(close_adj, 21) OVER {_W} - 1 AS score FROM px_dense), s AS (SELECT s0.* FROM s0 JOIN month_axis USING (date) WHERE score IS NOT NULL)"
+_MOM = f", s0 AS (SELECT date, security_id, close_adj / lag(close_adj, 21) OVER {_W} - 1 AS score FROM px_dense), s AS (SELECT * FROM s0 WHERE score IS NOT NULL)"
 
 
 def _scores(b) -> DataFrame:
-    return FA.reversal_1m({FA.PRICES: b("px_dense")}).join(F.broadcast(b("month_axis")), "date").where("score IS NOT NULL")
+    return FA.reversal_1m({FA.PRICES: b("px_dense")}).where("score IS NOT NULL")
 
 
-@query("winsorize", "px_dense", "month_axis", sql=_MOM + " SELECT date, security_id, round(greatest(least(score, quantile_cont(score, 0.95) OVER (PARTITION BY date)), quantile_cont(score, 0.05) OVER (PARTITION BY date)), 6) AS score FROM s")
+@query("winsorize", "px_dense", sql=_MOM + " SELECT date, security_id, round(greatest(least(score, quantile_cont(score, 0.95) OVER (PARTITION BY date)), quantile_cont(score, 0.05) OVER (PARTITION BY date)), 6) AS score FROM s")
 def _winsorize(b):
     return X.winsorize(_scores(b), "score", 0.05, 0.95).select("date", "security_id", R6("score").alias("score"))
 
 
-@query("zscore", "px_dense", "month_axis", sql=_MOM + " SELECT date, security_id, round((score - avg(score) OVER w) / nullif(stddev_samp(score) OVER w, 0), 6) AS score FROM s WINDOW w AS (PARTITION BY date)")
+@query("zscore", "px_dense", sql=_MOM + " SELECT date, security_id, round((score - avg(score) OVER w) / nullif(stddev_samp(score) OVER w, 0), 6) AS score FROM s WINDOW w AS (PARTITION BY date)")
 def _zscore(b):
     return X.zscore(_scores(b), "score").select("date", "security_id", R6("score").alias("score"))
 
@@ -123,24 +123,24 @@ def _zscore(b):
 _RANK = "(rank() OVER (PARTITION BY date ORDER BY score) + (count(*) OVER (PARTITION BY date, score) - 1) / 2.0)"
 
 
-@query("rank_pct", "px_dense", "month_axis", sql=_MOM + f" SELECT date, security_id, round({_RANK} / count(*) OVER (PARTITION BY date), 6) AS score FROM s")
+@query("rank_pct", "px_dense", sql=_MOM + f" SELECT date, security_id, round({_RANK} / count(*) OVER (PARTITION BY date), 6) AS score FROM s")
 def _rank_pct(b):
     return X.rank_pct(_scores(b), "score").select("date", "security_id", R6("score").alias("score"))
 
 
-@query("neutralize", "px_dense", "month_axis", "universe", sql=_MOM + " SELECT s.date, s.security_id, round(score - avg(score) OVER (PARTITION BY s.date, market), 6) AS score FROM s JOIN universe u ON u.date = s.date AND u.security_id = s.security_id")
+@query("neutralize", "px_dense", "universe", sql=_MOM + " SELECT s.date, s.security_id, round(score - avg(score) OVER (PARTITION BY s.date, market), 6) AS score FROM s JOIN universe u ON u.date = s.date AND u.security_id = s.security_id")
 def _neutralize(b):
     return X.neutralize(_scores(b).join(b("universe").select("date", "security_id", "market"), ["date", "security_id"]), "score", ["market"]).select("date", "security_id", R6("score").alias("score"))
 
 
-@query("quantile_bucket", "px_dense", "month_axis", sql=_MOM + f" SELECT date, security_id, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) AS INT) AS bucket FROM s")
+@query("quantile_bucket", "px_dense", sql=_MOM + f" SELECT date, security_id, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) AS INT) AS bucket FROM s")
 def _bucket(b):
     return X.quantile_bucket(_scores(b), "score", 5).select("date", "security_id", "bucket")
 
 
-@query("size_bucket", "px_dense", "month_axis", sql=", s AS (SELECT x.date, security_id, market_cap AS score FROM px_dense x JOIN month_axis m ON m.date = x.date)" + f" SELECT date, security_id, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) AS INT) AS bucket FROM s")
+@query("size_bucket", "px_dense", sql=", s AS (SELECT date, security_id, market_cap AS score FROM px_dense)" + f" SELECT date, security_id, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) AS INT) AS bucket FROM s")
 def _size(b):
-    return X.size_bucket(b("px_dense").join(F.broadcast(b("month_axis")), "date")).select("date", "security_id", "bucket")
+    return X.size_bucket(b("px_dense")).select("date", "security_id", "bucket")
 
 
 @query("forward_returns", "px_dense", sql="SELECT date, security_id, round(lead(close_adj, 5) OVER (PARTITION BY security_id ORDER BY date) / close_adj - 1, 6) AS forward_return FROM px_dense")
@@ -155,22 +155,22 @@ def _fwd(b):
     return A.forward_returns(b("px_dense"), 5)
 
 
-@query("ic_spearman", "px_dense", "month_axis", sql=_MOM + _FWD + f", k AS (SELECT date, {_RANK} AS a, rank() OVER (PARTITION BY date ORDER BY fr) + (count(*) OVER (PARTITION BY date, fr) - 1) / 2.0 AS c FROM j) SELECT date, round(corr(a, c), 6) AS ic, count(*) AS n FROM k GROUP BY date")
+@query("ic_spearman", "px_dense", sql=_MOM + _FWD + f", k AS (SELECT date, {_RANK} AS a, rank() OVER (PARTITION BY date ORDER BY fr) + (count(*) OVER (PARTITION BY date, fr) - 1) / 2.0 AS c FROM j) SELECT date, round(corr(a, c), 6) AS ic, count(*) AS n FROM k GROUP BY date")
 def _ic_s(b):
     return A.information_coefficient(_scores(b), _fwd(b)).withColumn("ic", R6("ic"))
 
 
-@query("ic_pearson", "px_dense", "month_axis", sql=_MOM + _FWD + " SELECT date, round(corr(score, fr), 6) AS ic, count(*) AS n FROM j GROUP BY date")
+@query("ic_pearson", "px_dense", sql=_MOM + _FWD + " SELECT date, round(corr(score, fr), 6) AS ic, count(*) AS n FROM j GROUP BY date")
 def _ic_p(b):
     return A.information_coefficient(_scores(b), _fwd(b), "pearson").withColumn("ic", R6("ic"))
 
 
-@query("quantile_returns", "px_dense", "month_axis", sql=_MOM + _FWD + f", k AS (SELECT date, fr, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) + 1 AS INT) AS quantile FROM j) SELECT date, quantile, round(avg(fr), 6) + 0.0 AS mean_return, count(*) AS n FROM k GROUP BY date, quantile")
+@query("quantile_returns", "px_dense", sql=_MOM + _FWD + f", k AS (SELECT date, fr, CAST(floor(({_RANK} - 1) * 5 / count(*) OVER (PARTITION BY date)) + 1 AS INT) AS quantile FROM j) SELECT date, quantile, round(avg(fr), 6) + 0.0 AS mean_return, count(*) AS n FROM k GROUP BY date, quantile")
 def _qr(b):
     return A.quantile_returns(_scores(b), _fwd(b)).withColumn("mean_return", R6("mean_return") + F.lit(0.0))  # no negative zero
 
 
-@query("factor_turnover", "px_dense", "month_axis", sql=_MOM + """, top AS (SELECT * FROM (SELECT date, security_id, row_number() OVER (PARTITION BY date ORDER BY score DESC, security_id) AS r, count(*) OVER (PARTITION BY date) AS n FROM s) WHERE r <= greatest(1, ceil(n * 0.1))),
+@query("factor_turnover", "px_dense", sql=_MOM + """, top AS (SELECT * FROM (SELECT date, security_id, row_number() OVER (PARTITION BY date ORDER BY score DESC, security_id) AS r, count(*) OVER (PARTITION BY date) AS n FROM s) WHERE r <= greatest(1, ceil(n * 0.1))),
   d AS (SELECT date, lag(date) OVER (ORDER BY date) AS previous FROM (SELECT DISTINCT date FROM top))
   SELECT t.date, CASE WHEN any_value(d.previous) IS NOT NULL THEN round(count(p.security_id) / count(*), 6) END AS overlap, count(*) AS n FROM top t JOIN d ON d.date = t.date LEFT JOIN top p ON p.date = d.previous AND p.security_id = t.security_id GROUP BY t.date""")
 def _turnover(b):
@@ -186,6 +186,7 @@ CONFIG = BT.BacktestConfig("1996-02-01", "2001-06-29", missing_return=-0.3, char
 
 
 def _backtest(b) -> BT.BacktestResult:
+    b.hold("filled")
     prices = b("px_dense").select("date", "security_id", "close_adj", "return_1d")
     factor = FA.get("momentum_12_1")
     return BT.run(factor.compute({FA.PRICES: prices}), b("universe"), prices, CONFIG, factor.direction, BT.KoreanCosts(), b("axis"))

@@ -68,21 +68,24 @@ def _enrich(b):
 _LAST = "(SELECT date FROM axis ORDER BY date DESC LIMIT 1 OFFSET 10)"
 
 
-@query("security_master", "px", "axis", "names", sql=f"""SELECT 'S' || p.ticker AS security_id, 'L' || p.ticker AS listing_id, 'I' || p.ticker AS issuer_id, p.ticker, any_value(n.name) AS name, CASE WHEN regexp_matches(p.ticker, '[579]$') OR regexp_matches(any_value(n.name), '([0-9]+)?우[A-Z]?$|우선') THEN 'preferred' ELSE 'common' END AS share_class,
-  CASE WHEN any_value(n.name) LIKE '%스팩%' THEN 'spac' WHEN any_value(n.name) LIKE '%리츠%' THEN 'reit' ELSE 'equity' END AS security_type, min(p.date) AS listed_date, CASE WHEN max(p.date) < {_LAST} THEN max(p.date) END AS delisted_date FROM px p JOIN names n ON n.ticker = p.ticker GROUP BY p.ticker""")
+_KIND = "CASE WHEN regexp_matches({0}, '스팩|SPAC') THEN 'spac_pre' WHEN {0} LIKE '%ETN%' THEN 'etn' WHEN regexp_matches({0}, '리츠|REIT') THEN 'reit' WHEN regexp_matches({0}, '^(KODEX|TIGER|ACE|RISE|HANARO|SOL|PLUS|KOSEF|ARIRANG|WON|TIMEFOLIO|KBSTAR|KINDEX)\\s') THEN 'etf' ELSE 'equity' END AS security_type"
+
+
+@query("security_master", "px", "axis", "names", sql=f"""SELECT 'S' || p.ticker AS security_id, 'L' || p.ticker AS listing_id, 'I' || p.ticker AS issuer_id, CAST(NULL AS VARCHAR) AS corp_code, CAST(NULL AS VARCHAR) AS corp_name, CAST(NULL AS VARCHAR) AS isin, 'unknown' AS delisting_reason, max(p.date) AS last_seen, p.ticker, any_value(n.name) AS name, CASE WHEN regexp_matches(p.ticker, '[579]$') OR regexp_matches(any_value(n.name), '([0-9]+)?우[A-Z]?$|우선') THEN 'preferred' ELSE 'common' END AS share_class,
+  {_KIND.format("any_value(n.name)")}, min(p.date) AS listed_date, CASE WHEN max(p.date) < {_LAST} THEN max(p.date) END AS delisted_date FROM px p JOIN names n ON n.ticker = p.ticker GROUP BY p.ticker""")
 def _master(b):
     p = b("px").join(F.broadcast(b("names").select("ticker", "name")), "ticker").withColumn("market", F.lit(None).cast("string"))
     return I.security_master(p).drop("market")
 
 
-@query("security_type_rules", "names", sql="SELECT security_id, CASE WHEN name LIKE '%스팩%' THEN 'spac' WHEN name LIKE '%리츠%' THEN 'reit' ELSE 'equity' END AS security_type, regexp_matches(ticker, '[579]$') OR regexp_matches(name, '([0-9]+)?우[A-Z]?$|우선') AS preferred FROM names")
+@query("security_type_rules", "names", sql=f"SELECT security_id, {_KIND.format('name')}, regexp_matches(ticker, '[579]$') OR regexp_matches(name, '([0-9]+)?우[A-Z]?$|우선') AS preferred FROM names")
 def _types(b):
     return b("names").select("security_id", I.security_type(F.col("name")).alias("security_type"), I.is_preferred(F.col("ticker"), F.col("name")).alias("preferred"))
 
 
-@query("identity_review", "px", "axis", sql=", g AS (SELECT p.ticker, p.date, a.day_index, lag(p.date) OVER w AS previous_date, a.day_index - lag(a.day_index) OVER w AS gap_days FROM px p JOIN axis a ON a.date = p.date WINDOW w AS (PARTITION BY ticker ORDER BY p.date)) SELECT ticker, previous_date, date AS next_date, gap_days, FALSE AS name_changed FROM g WHERE gap_days > 20")
+@query("identity_review", "px", "axis", sql=", g AS (SELECT p.ticker, p.date, a.day_index, lag(p.date) OVER w AS previous_date, a.day_index - lag(a.day_index) OVER w AS gap_days FROM px p JOIN axis a ON a.date = p.date WINDOW w AS (PARTITION BY ticker ORDER BY p.date)) SELECT ticker, previous_date, date AS next_date, gap_days, FALSE AS name_changed FROM g WHERE gap_days > 250")
 def _review(b):
-    return I.identity_review(b("px").withColumn("name", F.lit("x")), 20).drop("previous_name", "next_name")
+    return I.identity_review(b("px").withColumn("name", F.lit("x"))).drop("previous_name", "next_name")
 
 
 @query("security_relations", "names", "px", sql=DISCOUNT_SQL + ", sp AS (SELECT security_id, min(date) AS a, max(date) AS z FROM px GROUP BY 1) SELECT com AS common_security_id, pref AS preferred_security_id, CASE WHEN regexp_matches(pn.name, '^' || cn.name || '[0-9]?우(선주)?[A-Z]?$') THEN 'high' ELSE 'low' END AS confidence, CASE WHEN greatest(x.a, y.a) <= least(x.z, y.z) THEN greatest(x.a, y.a) END AS valid_from, CASE WHEN greatest(x.a, y.a) <= least(x.z, y.z) THEN least(x.z, y.z) END AS valid_to FROM pairs JOIN names pn ON pn.security_id = pref JOIN names cn ON cn.security_id = com LEFT JOIN sp x ON x.security_id = com LEFT JOIN sp y ON y.security_id = pref")
@@ -107,9 +110,9 @@ def _actions(b):
     return P.share_jumps(b("capped")).select("security_id", "effective_date", "action_type", R6("factor").alias("factor"))
 
 
-@query("corp_actions_corroborate", "capped", "filings", sql=_ACT + r", f AS (SELECT stock_code, rcept_dt, rcept_no FROM filings WHERE regexp_matches(report_nm, '주식\s*분할')), j AS (SELECT act.*, f.rcept_no FROM act LEFT JOIN f ON f.stock_code = act.ticker AND act.action_type = 'split' AND f.rcept_dt BETWEEN act.effective_date - 120 AND act.effective_date + 14 QUALIFY row_number() OVER (PARTITION BY security_id, effective_date ORDER BY abs(effective_date - rcept_dt), rcept_no) = 1) SELECT security_id, effective_date, action_type, CASE WHEN rcept_no IS NULL THEN 'medium' ELSE 'high' END AS confidence, rcept_no FROM j")
+@query("corp_actions_corroborate", "capped", "filings", sql=_ACT + r", f AS (SELECT stock_code, rcept_dt, rcept_no FROM filings WHERE regexp_matches(report_nm, '주식분할|액면분할')), j AS (SELECT act.*, f.rcept_no FROM act LEFT JOIN f ON f.stock_code = act.ticker AND act.action_type = 'split' AND f.rcept_dt BETWEEN act.effective_date - 120 AND act.effective_date + 14 QUALIFY row_number() OVER (PARTITION BY security_id, effective_date ORDER BY abs(effective_date - rcept_dt), rcept_no) = 1) SELECT security_id, effective_date, action_type, CASE WHEN rcept_no IS NULL THEN 'medium' ELSE 'high' END AS confidence, rcept_no AS source_rcept_no FROM j")
 def _corroborate(b):
-    return P.corroborate(P.share_jumps(b("capped")), b("filings")).select("security_id", "effective_date", "action_type", "confidence", "rcept_no")
+    return P.corroborate(P.share_jumps(b("capped")), b("filings")).select("security_id", "effective_date", "action_type", "confidence", "source_rcept_no")
 
 
 @query("adjusted_prices", "capped", sql=_ACT + """, fac AS (SELECT c.*, coalesce((SELECT product(a.factor) FROM act a WHERE a.security_id = c.security_id AND a.effective_date > c.date), 1) AS factor FROM capped c),
@@ -128,7 +131,7 @@ def _caps(b):
 
 @query("preferred_discount", "names", "px", sql=DISCOUNT_SQL + " SELECT date, preferred_security_id, common_security_id, round(discount, 6) AS discount, round(discount_mean, 6) AS discount_mean, round(discount_std, 6) AS discount_std, round(discount_z, 6) AS discount_z FROM pd")
 def _discount(b):
-    d = P.preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), I.preferred_relations(b("names")), 60, 20)
+    d = P.preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), I.preferred_relations(b("names")))
     return d.select("date", "preferred_security_id", "common_security_id", *[R6(c).alias(c) for c in ("discount", "discount_mean", "discount_std", "discount_z")])
 
 
@@ -167,17 +170,25 @@ def _legacy(b):
     return FU.drop_shadowed(f.where("NOT is_consolidated"), f.where("is_consolidated"), ("security_id", "account_id", "fiscal_period_end")).select("rcept_no", "security_id", "account_id")
 
 
-_PIT_OUT = " SELECT as_of_date, security_id, account_id, report_type, amount FROM pit"
+_CENTS = "CAST(sum(CAST(floor(amount * 100 + 0.5) AS BIGINT)) AS BIGINT) AS cents"
+_PIT_OUT = f" SELECT as_of_date, security_id, p.report_type = '11011' AS annual, count(*) AS n_accounts, {_CENTS} FROM pit p"
+
+
+def _pit_report(pit):
+    """Per day, security and kind of report: accounts and the sum of their amounts in cents."""
+    annual = (F.col("report_type") == "11011").alias("annual")
+    return pit.groupBy("as_of_date", "security_id", annual).agg(F.count("*").alias("n_accounts"), F.sum(F.floor(F.col("amount") * 100 + 0.5).cast("long")).alias("cents"))
 
 
-@query("fundamentals_pit", "month_axis", "fin", sql=PIT_SQL + _PIT_OUT)
+@query("fundamentals_pit", "axis", "fin", "universe", sql=PIT_SQL.format("TRUE") + _PIT_OUT + " SEMI JOIN universe u ON u.date = p.as_of_date AND u.security_id = p.security_id GROUP BY ALL")
 def _pit(b):
-    return FU.pit_naive(b("fin"), b("month_axis").withColumnRenamed("date", "as_of_date")).select("as_of_date", "security_id", "account_id", "report_type", "amount")
+    days = b("universe").select(F.col("date").alias("as_of_date"), "security_id")
+    return _pit_report(FU.pit_intervals(b("fin"), days))
 
 
-@query("fundamentals_pit_interval", "month_axis", "fin", sql=PIT_SQL + _PIT_OUT)
+@query("fundamentals_pit_interval", "axis", "fin", sql=PIT_SQL.format("TRUE") + _PIT_OUT + " GROUP BY ALL")
 def _pit_interval(b):
-    return FU.pit_intervals(b("fin"), b("month_axis").withColumnRenamed("date", "as_of_date")).select("as_of_date", "security_id", "account_id", "report_type", "amount")
+    return _pit_report(FU.pit_intervals(b("fin"), b("axis").select(F.col("date").alias("as_of_date"))))
 
 
 @query("asof_join", "px", "divs", sql=", d AS (SELECT security_id, available_date, max(cash_dividend_per_share) AS dps FROM divs GROUP BY 1, 2) SELECT p.date, p.security_id, CASE WHEN p.date - d.available_date <= 200 THEN d.available_date END AS matched_available_date, CASE WHEN p.date - d.available_date <= 200 THEN d.dps END AS dps FROM px p ASOF LEFT JOIN d ON d.security_id = p.security_id AND d.available_date <= p.date")

@@ -80,7 +80,7 @@ def test_missing_price_hits_once(spark):
     c = BT.BacktestConfig("2024-01-02", str(DAYS[40]), top_fraction=1.0, max_position_weight=0.5, missing_return=-0.3)
     plan = BT.schedules(axis, c)
     chosen = BT.targets(sc, uni, plan, c, 1)
-    a = BT.attribute(BT.positions(chosen, axis), prices, c).where("security_id = 'S002' AND missing").orderBy("date").collect()
+    a = BT.attribute(BT.positions(chosen, plan, axis), prices, c).where("security_id = 'S002' AND missing").orderBy("date").collect()
     first = [x for x in a if x["k"] == a[0]["k"]]
     assert first[0]["contribution"] == pytest.approx(-0.15) and all(x["contribution"] == 0 for x in first[1:])
 

@@ -119,3 +119,22 @@ def test_stream_counts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert {r["start"].day: r["n"] for r in spark.table("liveness").collect()} == {1: 2, 2: 1}
+
+
+def test_sandbox_judges_the_analysed_plan(spark):
+    from tessera.sources.sandbox import Rejected, Sandbox
+
+    spark.range(3).createOrReplaceTempView("open_rows")
+    spark.range(5).createOrReplaceTempView("secret")
+    box = Sandbox(spark, {"open_rows"})
+    assert box.query("WITH x AS (SELECT id FROM open_rows) SELECT count(*) AS n FROM x").rows == [[3]]
+    assert box.query("SELECT 'it''s; -- /* fine' AS t, id FROM open_rows WHERE id IN (SELECT max(id) FROM open_rows)").rows == [["it's; -- /* fine", 2]]
+    for sql in (
+        "WITH x AS (SELECT * FROM secret), secret AS (SELECT 1) SELECT * FROM x", "SELECT * FROM open_rows WHERE id IN (SELECT id FROM secret)", "SELECT (SELECT max(id) FROM secret) AS m",
+        "SELECT * FROM open_rows UNION ALL SELECT * FROM secret", "SELECT 1; SELECT 2", "DROP VIEW open_rows", "SELECT /* open", "SELECT * FROM parquet.`/tmp/x`",
+    ):
+        with pytest.raises(Rejected):
+            box.plan(sql)
+    wide = box.query("SELECT repeat('x', 400000) AS t FROM open_rows")
+    assert wide.truncated and len(wide.rows) == 2
+    assert box.query("SELECT id FROM open_rows", max_rows=2).truncated
