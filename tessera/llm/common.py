@@ -8,6 +8,7 @@ import sys
 import unicodedata
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,17 +37,23 @@ def shared_root(spark: SparkSession) -> str:
 class Scratch:
     """Written tables in the shared folder. Executors may be lost: a written table needs no lineage.
 
-    Tables go at drop(), or when the driver's Python ends (results are lazy and may still read them until then).
+    Tables go at drop() or only(), at the end of a `temporary` block in which the object was made, or when the driver's Python
+    ends (results are lazy and may still read them until then).
     """
 
+    live: list["Scratch"] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root = spark, f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._made, self.last = 0, ""
+        self.paths: list[tuple[str, str]] = []
+        Scratch.live.append(self)
         atexit.register(self.drop)
 
     def path(self, name: str) -> str:
         self._made += 1
         self.last = f"{self.root}/{self._made:03d}-{name}"
+        self.paths.append((name, self.last))
         return self.last
 
     def table(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -58,6 +65,13 @@ class Scratch:
         schema = df.schema
         return self.spark.read.schema(schema).parquet(path)
 
+    def only(self, *names: str) -> None:
+        """Drops all tables but those of these names, which a result still reads."""
+        for name, path in self.paths:
+            if name not in names:
+                self.drop(path)
+        self.paths = [x for x in self.paths if x[0] in names]
+
     def drop(self, path: str | None = None) -> None:
         try:
             jvm = self.spark.sparkContext._jvm
@@ -67,6 +81,18 @@ class Scratch:
             pass
 
 
+@contextmanager
+def temporary() -> Iterator[None]:
+    """At its end, all tables of Scratch objects made inside are dropped; what is needed on must have been written elsewhere."""
+    before = len(Scratch.live)
+    try:
+        yield
+    finally:
+        for scratch in Scratch.live[before:]:
+            scratch.drop()
+        del Scratch.live[before:]
+
+
 def broadcast_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A written table of narrow rows with a broadcast hint if it has at most so many; it is counted first. Larger ones are joined by shuffle."""
     return F.broadcast(df) if df.count() <= rows else df

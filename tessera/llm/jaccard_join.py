@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Scratch, row_key, without, words
+from tessera.llm.common import Scratch, row_key, temporary, without, words
 from tessera.llm.graph import components
 
 #: Shingles in a block of a bucket (8 bytes each, two blocks in a task), at most; a bucket that would fill less than MANY_BLOCKS
@@ -257,15 +257,17 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, n: int = 5, threshold:
     work = work.join(rich, "number")
     found = work.groupBy("band", "key", "left", "right").applyInArrow(verify_blocks(threshold), "number long, links long, other long")
     found = scratch.table(found, "found")
-    roots = components(found.select(F.col("number").alias("u"), F.col("other").alias("v")))
     links = found.groupBy("number").agg(F.sum("links").alias("links"))
     state = texts.select("digest", "row", "copies", "number").join(links, "number", "left")
-    state = state.join(roots, state.number == roots.node, "left").withColumn("root", F.coalesce("root", "number"))
-    # only texts with a link or a copy need a join; all others are their own class
-    state = state.withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1).where("n_links > 0")
-    state = scratch.table(state.select("digest", "row", "root", "n_links"), "state")
+    with temporary():
+        roots = components(found.select(F.col("number").alias("u"), F.col("other").alias("v")))
+        state = state.join(roots, state.number == roots.node, "left").withColumn("root", F.coalesce("root", "number"))
+        # only texts with a link or a copy need a join; all others are their own class
+        state = state.withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1).where("n_links > 0")
+        state = scratch.table(state.select("digest", "row", "root", "n_links"), "state")
     first = state.groupBy("root").agg(F.min("row").alias("first"))
     classes = scratch.table(state.join(first, "root").select("digest", "row", "first", "n_links"), "classes")
+    scratch.only("sketches", "classes")
     out = sketches.drop("bands").join(classes, "digest", "left")
     alone = F.col("first").isNull()
     keeps = alone | (F.col("row_id").eqNullSafe(F.col("first.row_id")) & (F.col("row_text") == F.col("first.row_text")))
