@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
-from tessera.llm.common import Scratch
+from tessera.llm.common import Scratch, temporary
 from tessera.llm.queries import BYTE_BPE, vocabulary
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -56,5 +56,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+        with temporary():
+            docs = scratch.table(stage(spark, docs, sf_dir), name)
+        scratch.only(name)
     return docs
