@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import functions as F
 
 from tessera.operators import calendar as C
@@ -12,6 +15,7 @@ from tessera.plans import prices as P
 from tessera.queries import query
 from tessera.queries.core import R6
 from tessera.queries.medallion import _ACT
+from tessera.sources.datasets import Lake
 
 _MID = "1998-06-30"
 
@@ -101,3 +105,46 @@ def _by_name(b):
     n = b("names")
     preferred = F.col("name").endswith("우")
     return I.preferred_by_name(n.select("security_id", "ticker", "name", F.when(~preferred, F.col("ticker")).alias("corp_code"), F.when(preferred, "preferred").otherwise("common").alias("share_class")))
+
+
+def _lake_root(spark) -> str:
+    """A folder of its own under the shared one (a local one on a local master without it); it goes when the driver's Python ends."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or ("/tmp/checkpoints/tessera" if spark.sparkContext.master.startswith("local") else None)
+    if shared is None:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    root = f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex[:12]}"
+
+    def drop() -> None:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has ended
+            pass
+
+    atexit.register(drop)
+    return root
+
+
+_ROUND = "CAST(sum(CAST(floor(amount * 100 + 0.5) AS BIGINT)) AS BIGINT) AS cents"
+
+
+@query("sink_partitions", "fin", sql=f"SELECT fiscal_year, account_id, count(*) AS n, {_ROUND} FROM fin WHERE fiscal_year > 1993 OR is_consolidated GROUP BY 1, 2")
+def _partitions_written(b):
+    """Written by year; years written again are replaced, the others stay."""
+    lake = Lake(b.spark, _lake_root(b.spark))
+    fin = b("fin")
+    lake.write(fin.where("is_consolidated"), "silver.financials", "fiscal_year")
+    lake.write(fin.where("fiscal_year > 1993"), "silver.financials", "fiscal_year")
+    back = lake.read("silver.financials")
+    return back.groupBy(F.year("fiscal_period_end").alias("fiscal_year"), "account_id").agg(F.count("*").alias("n"), F.sum(F.floor(F.col("amount") * 100 + 0.5).cast("long")).alias("cents"))
+
+
+@query("sink_merge", "divs", sql="SELECT security_id, fiscal_year, max(available_date) AS available_date, CAST(max(CASE WHEN m THEN 2 ELSE 1 END) AS INT) AS version FROM (SELECT *, max(o_orderkey % 2) OVER (PARTITION BY security_id, fiscal_year) = 1 AS m, max(CASE WHEN o_orderkey % 2 = 1 THEN available_date END) OVER (PARTITION BY security_id, fiscal_year) AS nd FROM divs) WHERE NOT m OR (o_orderkey % 2 = 1 AND available_date = nd) GROUP BY 1, 2")
+def _merged(b):
+    """Stored rows and newer ones, one per security and year: the newer where there is one."""
+    lake = Lake(b.spark, _lake_root(b.spark))
+    d = b("divs").select("security_id", "fiscal_year", "available_date", "o_orderkey")
+    newest = lambda df: df.groupBy("security_id", "fiscal_year").agg(F.max("available_date").alias("available_date"))
+    lake.write(newest(d).withColumn("version", F.lit(1)), "silver.dividends", "fiscal_year")
+    lake.merge(newest(d.where("o_orderkey % 2 = 1")).withColumn("version", F.lit(2)), "silver.dividends", ["security_id", "fiscal_year"], "fiscal_year", ["available_date"])
+    return lake.read("silver.dividends").select("security_id", F.col("fiscal_year").cast("int").alias("fiscal_year"), "available_date", "version")

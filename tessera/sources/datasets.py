@@ -191,6 +191,8 @@ class Lake:
         staged = f"{self.path(name)}__staged"
         out.write.mode("overwrite").parquet(staged)  # what is read can't be overwritten in place
         self.spark.read.parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(self.path(name))
+        target = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
     def register(self) -> DataFrame:
         """A temporary view layer_name for each dataset and for the analytics joins; gives the table of datasets."""
