@@ -7,6 +7,7 @@ import threading
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -65,7 +66,10 @@ class Sandbox:
     def plan(self, sql: str) -> DataFrame:
         """The whole query as a DataFrame. What it reads is taken from the analysed plan, where WITH names are resolved by their scope."""
         text = validate(sql)
-        df = self.spark.sql(text)
+        try:
+            df = self.spark.sql(text)
+        except AnalysisException as e:  # unknown names and bad syntax
+            raise Rejected(str(e).split("\n")[0]) from None
         for name in self._read(df._jdf.queryExecution().analyzed()):
             if name.lower() not in self.views:
                 raise Rejected(f"{name} is not a known view")
