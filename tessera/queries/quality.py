@@ -110,7 +110,7 @@ def _panel(b):
     from tessera.plans.identity import preferred_relations
     from tessera.plans.prices import preferred_discount
 
-    d = preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), preferred_relations(b("names")), 60, 20)
+    d = preferred_discount(b("px").select("date", "security_id", F.col("close_adj").alias("close")), preferred_relations(b("names")))
     w = Window.partitionBy("preferred_security_id").orderBy("date")
     return d.select(F.col("preferred_security_id").alias("entity"), "discount", "discount_z", (F.lead("discount", 5).over(w) - F.col("discount")).alias("change"))
 
