@@ -5,8 +5,8 @@ without a letter or digit stay and count nowhere. A line's spread is its number
 sketches of the sites are built in each task and merged by aggregation. A sketch far above or below the threshold decides at
 once; the lines whose estimate lies within `MARGIN` (over ten standard errors of the sketch) get an exact distinct count. Lines
 spread over at least `min_sites` sites are removed from every document. Unless it is given, `min_sites` is half of the corpus's
-sites, `MOST_SITES` at most and two at least: on a small corpus boilerplate is what half of it shares, on a large one ten
-unrelated sites don't write the same line.
+sites, `MOST_SITES` at most and three at least: on a small corpus boilerplate is what half of it shares, a line on two sites may be a
+quotation, and on a large corpus ten unrelated sites don't write the same line.
 
 Lines are known by a 128-bit pair of hashes. The removed lines are written; Spark broadcasts them if their files are small
 and otherwise joins by shuffle, where adaptive execution splits a hot line's rows.
@@ -34,9 +34,9 @@ def with_key(lines: DataFrame, line: Column) -> DataFrame:
 
 
 def threshold(docs: DataFrame, site_col: str) -> int:
-    """Half of the sites, MOST_SITES at most, two at least."""
+    """Half of the sites, MOST_SITES at most, three at least."""
     sites = docs.where(F.col(site_col).isNotNull()).groupBy(site_col).agg(F.count("*").alias("n")).limit(2 * MOST_SITES).count()  # more don't matter
-    return min(MOST_SITES, max(2, -(-sites // 2)))
+    return min(MOST_SITES, max(3, -(-sites // 2)))
 
 
 def spread_lines(docs: DataFrame, min_sites: int, text_col: str, site_col: str, scratch: Scratch) -> DataFrame:

@@ -105,7 +105,7 @@ OP8_SQL = r"""
 WITH lines AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
 keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM lines),
-bad AS (SELECT norm FROM keyed WHERE source IS NOT NULL AND regexp_matches(norm, '[\p{L}\p{N}]') GROUP BY norm HAVING count(DISTINCT source) >= (SELECT least(10, greatest(2, ceil(count(DISTINCT source) / 2))) FROM documents)),
+bad AS (SELECT norm FROM keyed WHERE source IS NOT NULL AND regexp_matches(norm, '[\p{L}\p{N}]') GROUP BY norm HAVING count(DISTINCT source) >= (SELECT least(10, greatest(3, ceil(count(DISTINCT source) / 2))) FROM documents)),
 done AS (
   SELECT doc_id, count(*) AS n_lines, count(b.norm) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE b.norm IS NULL), '') AS clean
   FROM keyed LEFT JOIN bad b USING (norm) GROUP BY doc_id)

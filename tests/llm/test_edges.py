@@ -38,7 +38,7 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(i, t, "en" if k % 2 else "de", f"src{k % 3}", len(t or ""), *([7] * len(EXTRA))) for k, (i, t) in enumerate(TEXTS)]
+    rows = [(i, t, "en" if k % 2 else "de", f"src{k % 7}", len(t or ""), *([7] * len(EXTRA))) for k, (i, t) in enumerate(TEXTS)]
     return spark.createDataFrame(rows, DDL).repartition(3)
 
 
@@ -207,7 +207,7 @@ def test_line_dedup(docs, empty, spark):
     report = {r["doc_id"]: (r["n_lines"], r["n_removed"]) for r in rows(line_dedup.line_report(some, 4))}
     assert report[3] == (5, 2) and report[8] == (0, 0) and report[9] == (1, 0) and report[10] == (1, 1)
     assert rows(line_dedup.line_report(some, 5).where("n_removed > 0")) == []
-    assert line_dedup.threshold(some, "source") == 2 and line_dedup.threshold(docs, "source") == 2  # half of four sites, of three
+    assert line_dedup.threshold(some, "source") == 3 and line_dedup.threshold(docs, "source") == 4  # three at least, half of seven
     many = spark.range(200).selectExpr("'x' AS text", "id % 50 AS source")
     assert line_dedup.threshold(many, "source") == line_dedup.MOST_SITES
     out = line_dedup.clean_lines(docs)
