@@ -38,7 +38,7 @@ from tessera.llm.graph import components
 
 #: Shingles in a block of a bucket (8 bytes each, two blocks in a task), at most; a bucket that would fill less than MANY_BLOCKS
 #: of these is cut into up to so many, of LEAST_SHINGLES at least, for even tasks. Cuts change no result.
-BLOCK_SHINGLES, LEAST_SHINGLES, MANY_BLOCKS = 1 << 17, 1 << 14, 16
+BLOCK_SHINGLES, LEAST_SHINGLES, MANY_BLOCKS = 1 << 17, 1 << 14, 6
 #: Shingles hashed at a time.
 CHUNK = 1 << 18
 PRIME = np.uint64(0x9E3779B97F4A7C15)
