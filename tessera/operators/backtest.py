@@ -6,6 +6,7 @@ k - 1. The calendar and the schedules are tables of a few thousand rows at most
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -53,6 +54,15 @@ class KoreanCosts:
         return (buys + sells) * self.commission_bps / 10_000 + sells * self.sell_tax_bps / 10_000
 
 
+@dataclass(frozen=True)
+class Quotes:
+    """Returns without the days between prices: `returns` (date, security_id, return_1d) of days with a price of their own, `since`
+    (security_id, since) the day of the first price. On any other day after `since` the price stands and the return is 0."""
+
+    returns: DataFrame
+    since: DataFrame
+
+
 def schedules(axis: DataFrame, c: BacktestConfig) -> DataFrame:
     """(k, signal_date, entry_date, exit_date): one row per rebalance."""
     ends = month_ends(axis, c.start, c.end)
@@ -82,7 +92,9 @@ def active_universe(universe: DataFrame, c: BacktestConfig) -> DataFrame:
 def targets(scores: DataFrame, universe: DataFrame, plan: DataFrame, c: BacktestConfig, direction: int) -> DataFrame:
     """(k, signal_date, entry_date, exit_date, security_id, weight, selected_count)."""
     s = scores.where(is_finite(F.col("score"))).select(F.col("date").alias("signal_date"), "security_id", "score")
-    s = s.join(F.broadcast(plan), "signal_date").join(active_universe(universe, c), ["signal_date", "security_id"], "left_semi")
+    # only the days of signals are shuffled
+    members = universe.join(F.broadcast(plan.select(F.col("signal_date").alias("date")).distinct()), "date", "left_semi")
+    s = s.join(F.broadcast(plan), "signal_date").join(active_universe(members, c), ["signal_date", "security_id"], "left_semi")
     best = Window.partitionBy("k").orderBy((F.col("score") * direction).desc(), "security_id")
     s = s.withColumn("r", F.row_number().over(best)).withColumn("n", F.count("*").over(Window.partitionBy("k")))
     s = s.withColumn("selected_count", F.greatest(F.lit(1), F.ceil(F.col("n") * c.top_fraction)).cast("long")).where(F.col("r") <= F.col("selected_count"))
@@ -95,10 +107,16 @@ def positions(chosen: DataFrame, plan: DataFrame, axis: DataFrame) -> DataFrame:
     return held.select("date", "security_id", "weight", "k", "signal_date", "entry_date")
 
 
-def attribute(held: DataFrame, prices: DataFrame, c: BacktestConfig) -> DataFrame:
+def attribute(held: DataFrame, prices: DataFrame | Quotes, c: BacktestConfig) -> DataFrame:
     """Adds contribution and missing: the first day without a return earns missing_return; after it nothing, if dropped."""
-    r = prices.select("date", "security_id", F.col("return_1d").alias("r"))
-    j = held.join(r, ["date", "security_id"], "left").withColumn("missing", F.col("r").isNull())
+    sparse = isinstance(prices, Quotes)
+    r = (prices.returns if sparse else prices).select("date", "security_id", F.col("return_1d").alias("r"))
+    if sparse:
+        r = r.where(F.col("date").between(F.to_date(F.lit(c.start)), F.to_date(F.lit(c.end))))
+    j = held.join(r, ["date", "security_id"], "left")
+    if sparse:
+        j = j.join(prices.since, "security_id", "left").withColumn("r", F.coalesce("r", F.when(F.col("date") > F.col("since"), 0.0))).drop("since")
+    j = j.withColumn("missing", F.col("r").isNull())
     before = Window.partitionBy("k", "security_id").orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     gone = F.coalesce(F.max(F.col("missing").cast("int")).over(before), F.lit(0)) == 1
     earned = F.when(gone & F.lit(c.drop_after_missing), 0.0).when(F.col("missing"), F.lit(c.missing_return)).otherwise(F.col("r"))
@@ -149,13 +167,17 @@ class BacktestResult:
     targets: DataFrame
 
 
-def run(scores: DataFrame, universe: DataFrame, prices: DataFrame, c: BacktestConfig, direction: int = 1, cost_model=None, axis: DataFrame | None = None) -> BacktestResult:
+def run(
+    scores: DataFrame, universe: DataFrame, prices: DataFrame | Quotes, c: BacktestConfig, direction: int = 1, cost_model=None, axis: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> BacktestResult:
+    """keep: may store the selection and the attributed holdings, each of which is read several times. Quotes need an axis."""
     cost_model = cost_model or FixedBps()
     axis = axis if axis is not None else day_axis(prices)
     plan = schedules(axis, c)
-    chosen = targets(scores, universe, plan, c, direction)
+    chosen = keep(targets(scores, universe, plan, c, direction))
     held = positions(chosen, plan, axis)
-    attributed = attribute(held, prices, c)
+    attributed = keep(attribute(held, prices, c))
     book = ledger(chosen, plan, cost_model, attributed)
     final = None
     if c.charge_final_liquidation:

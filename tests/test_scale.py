@@ -80,3 +80,35 @@ print("rows", len(QUERIES["{query}"](spark, "/root/testdata/sf0.001").collect())
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=240)
     assert "rows" in done.stdout, done.stderr[-2000:]
+
+
+def test_backtest_reads_only_the_days_it_needs(spark):
+    from tessera.operators import backtest as BT
+    from tessera.operators import factors as FA
+    from tessera.plans.bridge import filled_on, quotes, universe_on
+    from tessera.queries.core import CONFIG
+
+    b = Bridge(spark, "/root/testdata/sf0.001")
+    days = b("axis").where("day_index % 97 = 1 OR day_index IN (400, 401) OR day_index = 1")
+    asked = days.select("day_index").union(spark.sql("SELECT -5L"))
+    some, index = filled_on(b, asked), [r.day_index for r in days.collect()]
+    same = lambda x, y: x.count() == y.count() > 0 and x.exceptAll(y).isEmpty()
+    assert same(some, b("filled").where(F.col("day_index").isin(index)))
+    assert same(universe_on(b, asked), b("universe").join(days.select("date"), "date", "left_semi").select(b("universe").columns))
+    dense = FA.get("momentum_12_1").compute({FA.PRICES: b("px_dense")}).join(days.select("date"), "date", "left_semi").where("score IS NOT NULL")
+    assert same(FA.momentum_on(days, lambda d: filled_on(b, d)).where("score IS NOT NULL").select(dense.columns), dense)
+    # holdings before a security's first price, on days with and without one
+    held = b("axis").join(b("px").select("security_id").distinct().limit(6)).where("day_index < 900").select("date", "security_id", F.lit(0.1).alias("weight"), F.when(F.col("day_index") < 450, 1).otherwise(2).alias("k"))
+    held = held.withColumn("signal_date", F.col("date")).withColumn("entry_date", F.col("date"))
+    c = BT.BacktestConfig("1992-01-01", "2001-06-29", missing_return=-0.3, drop_after_missing=False)
+    a, z = BT.attribute(held, quotes(b), c), BT.attribute(held, b("px_dense"), c)
+    assert z.where("missing").count() and same(a.select(sorted(a.columns)), z.select(sorted(z.columns)))
+
+
+def test_backtest_spreads_prices_over_asked_days_only(spark):
+    from tessera.queries import QUERIES
+
+    df = QUERIES["backtest_summary"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    spread = [line for line in (plan + df._jdf.queryExecution().withCachedData().toString()).splitlines() if "explode(sequence(first" in line]
+    assert not spread
